@@ -32,20 +32,29 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
     }
 
 
+def _named(position: Column, names: Sequence[str | None], otherwise: str) -> Column:
+    """names[position] (from 0), or ``otherwise`` for a gap, another position or NULL.
+
+    A look-up in a constant array is much less generated code than a chain of comparisons.
+    """
+    table = F.array(*[F.lit(name) if name else F.lit(None).cast("string") for name in names])
+    return F.coalesce(F.get(table, position), F.lit(otherwise))
+
+
 def time_band(
     hour: Column, bands: Mapping[str, tuple[int, int]] = DAY_BANDS, otherwise: str = "OffPeak"
 ) -> Column:
     """Name of the band an hour falls in; an unknown hour counts as ``otherwise``."""
-    hits = [F.when(hour.between(first, last), F.lit(name)) for name, (first, last) in bands.items()]
-    return F.coalesce(*hits, F.lit(otherwise))
+    names = [next((name for name, (first, last) in bands.items() if first <= h <= last), None) for h in range(24)]
+    return _named(hour, names, otherwise)
 
 
 def season(
     month: Column, months: Mapping[str, Sequence[int]] = SEASON_MONTHS, otherwise: str = "Autumn"
 ) -> Column:
     """Season of a month; an unknown month counts as ``otherwise``."""
-    hits = [F.when(month.isin(*members), F.lit(name)) for name, members in months.items()]
-    return F.coalesce(*hits, F.lit(otherwise))
+    names = [next((name for name, members in months.items() if m in members), None) for m in range(13)]
+    return _named(month, names, otherwise)
 
 
 def date_key(ts: Column) -> Column:

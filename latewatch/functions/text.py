@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 # Patterns of the record format and the delay cap in minutes.
 RANGE_PATTERN = r"(\d+)\s*-\s*(\d+)"
 NUMBER_PATTERN = r"(\d+)"
-VENDOR_CODE_PATTERN = r"\s*\(.*$"
-TRAILING_MARKS_PATTERN = r"[.,]+$"
+COMPANY_TAIL_PATTERN = r"[.,]*\s*\(.*$|[.,]+$"
 HOUR_WORDS = ("HOUR", "HR")
 DELAY_CAP = 180.0
 
@@ -43,8 +42,8 @@ def winsorize(value: Column, cap: float = DELAY_CAP, floor: float = 0.0) -> Colu
 
 def clean_operator(text: Column, missing: str = "UNKNOWN") -> Column:
     """Upper-case company name without vendor code and trailing marks; blank becomes ``missing``."""
-    name = F.regexp_replace(F.upper(F.trim(text)), VENDOR_CODE_PATTERN, "")
-    name = F.regexp_replace(name, TRAILING_MARKS_PATTERN, "")
+    # One pattern for the bracketed code with the marks before it, or the marks at the end.
+    name = F.regexp_replace(F.upper(F.trim(text)), COMPANY_TAIL_PATTERN, "")
     return F.when(name == "", F.lit(missing)).otherwise(name)
 
 

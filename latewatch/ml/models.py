@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, feature_pipeline, vector_names
+from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, check_levels, feature_pipeline, vector_names
 from latewatch.operators import metrics
 from latewatch.operators.split import hash_split, with_folds
 from latewatch.session import cached, ensure_checkpoint_dir
@@ -176,11 +176,14 @@ def compare_regressors(prepared: DataFrame, estimators: Mapping[str, Estimator]
 
 def _compare_task(prepared, features, estimators, evaluate, extra) -> Comparison:
     ensure_checkpoint_dir(prepared.sparkSession)  # boosting cuts its lineage there
-    train, test = hash_split(prepared)
-    fitted = feature_pipeline(features).fit(train)
+    used = ["busbreakdown_id", *features.categorical, *features.numeric, features.label, *extra]
     columns = ["busbreakdown_id", "features", features.label, *extra]
-    with cached(fitted.transform(train).select(*columns), fitted.transform(test).select(*columns)) as (tr, te):
-        return compare(tr, te, fitted, estimators, evaluate)
+    with cached(prepared.select(*dict.fromkeys(used))) as (rows,):
+        check_levels(rows, features.categorical)
+        train, test = hash_split(rows)
+        fitted = feature_pipeline(features).fit(train)
+        with cached(fitted.transform(train).select(*columns), fitted.transform(test).select(*columns)) as (tr, te):
+            return compare(tr, te, fitted, estimators, evaluate)
 
 
 def importances(outcome: Comparison, name: str, top: int | None = 12) -> DataFrame | None:

@@ -8,7 +8,8 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.operators.ranking import quantiles_from_counts, value_counts
+from latewatch.operators.ranking import quantile_rows, quantiles_of, ranked_values, value_counts
+from latewatch.session import durable
 
 
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -57,8 +58,8 @@ def centre_marks(df: DataFrame, column: str) -> DataFrame:
 
     Both come from the value counts, in one scan.
     """
-    counts = value_counts(df, [column])
-    median = quantiles_from_counts(counts, [0.5], interpolate=True)
+    counts = ranked_values(df, [column])
+    median = quantiles_of(counts, [0.5], interpolate=True)
     mean = counts.groupBy("column_name").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     return median.join(mean, "column_name").select("column_name", "n", "mean", F.col("q_0").alias("median"))
 
@@ -69,7 +70,7 @@ def density(df: DataFrame, column: str, points: int = 200, bandwidth: float | No
     Bandwidth by Scott's rule unless given. The kernel sum runs over distinct values weighted by
     their counts; every value meets the fixed grid inside its own task and is summed there first.
     """
-    counts = value_counts(df, [column])
+    counts = durable(value_counts(df, [column]))
     # One row: everything the grid and the kernel width need.
     number = F.sum("n")
     mean = F.sum(F.col("value") * F.col("n")) / number
@@ -95,8 +96,8 @@ def density(df: DataFrame, column: str, points: int = 200, bandwidth: float | No
 
 def box_figures(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values within the fences) and number of fliers; one scan."""
-    counts = value_counts(df, [column])
-    quartiles = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
+    counts = ranked_values(df, [column])
+    quartiles = quantiles_of(counts, [0.25, 0.5, 0.75])
     reach = (F.col("q_2") - F.col("q_0")) * factor
     inside = F.col("value").between(F.col("q_0") - reach, F.col("q_2") + reach)
     # The quartiles are one row.
@@ -138,14 +139,9 @@ def normal_quantile_points(df: DataFrame, column: str, points: int = 99) -> Data
     are exact and computed over all rows; only ``points`` rows remain for the line.
     """
     places = normal_places(points)
-    found = quantiles_from_counts(value_counts(df, [column]), [p for p, _ in places])
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("point"), F.lit(z).alias("theoretical"), F.col(f"q_{i}").alias("observed"))
-            for i, (_, z) in enumerate(places)
-        ]
-    )
-    listed = found.select(F.inline(pairs))
+    found = quantile_rows(ranked_values(df, [column]), [p for p, _ in places])
+    theoretical = F.element_at(F.array(*[F.lit(z) for _, z in places]), F.col("point") + 1)
+    listed = found.select("point", theoretical.alias("theoretical"), F.col("value").alias("observed"))
     line = listed.agg(
         F.struct(
             F.regr_slope("observed", "theoretical").alias("slope"),

@@ -12,8 +12,8 @@ from latewatch.schema import DIMENSION_IDS, FEATURE_COLUMNS
 def derive_features(raw: DataFrame) -> DataFrame:
     """Clean and type every used column of the raw records.
 
-    Two projections: the first parses what several columns build on, the second derives from it,
-    so that no timestamp or delay text is parsed twice. Surrogate ids are added by the star join.
+    Stacked projections, each deriving from the one before, so that no text is parsed twice and the
+    code generated for a row stays small enough to be compiled. Surrogate ids come with the star join.
     """
     parsed = raw.select(
         "*",
@@ -21,13 +21,12 @@ def derive_features(raw: DataFrame) -> DataFrame:
         fn.winsorize(fn.parse_delay(F.col("How_Long_Delayed"))).alias("delay_minutes"),
         F.trim("Breakdown_or_Running_Late").alias("incident_type"),
     )
-    parts = fn.calendar_parts(F.col("occurred_ts"))
+    dated = parsed.select("*", *[c.alias(name) for name, c in fn.calendar_parts(F.col("occurred_ts")).items()])
     derived: dict[str, Column] = {
-        **parts,
         "busbreakdown_id": F.col("Busbreakdown_ID").try_cast("bigint"),
         "school_year": F.col("School_Year"),
-        "time_band": fn.time_band(parts["hour"]),
-        "season": fn.season(parts["month"]),
+        "time_band": fn.time_band(F.col("hour")),
+        "season": fn.season(F.col("month")),
         "operator": fn.clean_operator(F.col("Bus_Company_Name")),
         "boro": fn.clean_area(F.col("Boro")),
         "run_type": F.trim("Run_Type"),
@@ -37,11 +36,10 @@ def derive_features(raw: DataFrame) -> DataFrame:
         "notified_schools": fn.yes_flag(F.col("Has_Contractor_Notified_Schools")),
         "notified_parents": fn.yes_flag(F.col("Has_Contractor_Notified_Parents")),
         "alerted_opt": fn.yes_flag(F.col("Have_You_Alerted_OPT")),
-        "delay_minutes": F.col("delay_minutes"),
         "on_time": fn.on_time_flag(F.col("delay_minutes")),
-        "incident_type": F.col("incident_type"),
         "is_breakdown": fn.type_flag(F.col("incident_type")),
-        "occurred_ts": F.col("occurred_ts"),
     }
     ids = set(DIMENSION_IDS.values())
-    return parsed.select(*[derived[name].alias(name) for name in FEATURE_COLUMNS if name not in ids])
+    return dated.select(
+        *[derived.get(name, F.col(name)).alias(name) for name in FEATURE_COLUMNS if name not in ids]
+    )

@@ -12,22 +12,31 @@ from latewatch.operators.ranking import running_totals
 from latewatch.session import durable
 
 
-def historical_means(train: DataFrame, keys: Sequence[str], targets: Mapping[str, str]) -> DataFrame:
-    """Mean of each target per key combination: history used as a predictor (new name -> target)."""
-    means = [F.avg(target).alias(name) for name, target in targets.items()]
-    return train.dropna(subset=list(keys)).groupBy(*keys).agg(*means)
+def history(train: DataFrame, keys: Sequence[str], targets: Mapping[str, str]) -> DataFrame:
+    """Sum and number of each target per key combination (new name -> target)."""
+    sums = [F.sum(target).alias(f"{name}_sum") for name, target in targets.items()]
+    counts = [F.count(target).alias(f"{name}_n") for name, target in targets.items()]
+    return train.groupBy(*keys).agg(*sums, *counts)
 
 
 def score_by_history(
     train: DataFrame, test: DataFrame, keys: Sequence[str], targets: Mapping[str, str]
 ) -> DataFrame:
-    """Add the historical means of each row's key combination; unseen combinations get the overall means.
+    """Add the historical mean of each target for each row's key combination.
 
-    The means are written to the checkpoint folder, measured there, and joined accordingly.
+    Unseen combinations get the overall mean. The history is computed once, kept in the checkpoint
+    folder and measured there; group means and overall means both come from it.
     """
-    means = durable(historical_means(train, keys, targets))
-    overall = train.agg(F.struct(*[F.avg(target).alias(name) for name, target in targets.items()])).scalar()
-    joined = join_dimension(test, means, list(keys)).withColumn("_overall", overall)
+    past = durable(history(train, keys, targets))
+    means = past.select(
+        *keys, *[F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")).alias(name) for name in targets]
+    ).dropna(subset=list(keys))
+    overall = past.agg(
+        F.struct(
+            *[F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(name) for name in targets]
+        ).alias("overall")
+    )
+    joined = join_dimension(test, means, list(keys)).withColumn("_overall", overall.scalar())
     filled = {name: F.coalesce(F.col(name), F.col(f"_overall.{name}")) for name in targets}
     return joined.withColumns(filled).drop("_overall")
 

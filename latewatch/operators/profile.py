@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.operators.ranking import quantiles_from_counts, value_counts
+from latewatch.operators.ranking import quantiles_of, ranked_values
 
 # The columns the standard profile covers.
 CATEGORICALS = ("operator", "boro", "reason", "run_type", "time_band", "season", "school_year", "incident_type")
@@ -89,8 +89,8 @@ def outlier_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5, e
     """
     if error > 0:
         return _sketched_fences(df, columns, factor, error)
-    counts = value_counts(df, columns)
-    quartiles = quantiles_from_counts(counts, [0.25, 0.75]).select("column_name", *_fences("q_0", "q_1", factor))
+    counts = ranked_values(df, columns)
+    quartiles = quantiles_of(counts, [0.25, 0.75]).select("column_name", *_fences("q_0", "q_1", factor))
     # One row per profiled column.
     return (
         counts.join(F.broadcast(quartiles), "column_name")
@@ -140,23 +140,24 @@ def _sketched_fences(df: DataFrame, columns: Sequence[str], factor: float, error
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, fill: float = 0.0) -> DataFrame:
     """Pearson correlation of every pair of columns as (row_name, column_name, r).
 
-    Missing values count as ``fill``. All pairs come from one pass with one buffer row per task;
-    a constant column gives NULL. The number of pairs depends on the column list, not on the data.
+    Missing values count as ``fill``; a constant column gives NULL. One scan finds the means, a second
+    sums the products of the deviations: exact for any scale of values, and a plain sum per pair costs
+    a fraction of a running covariance. The number of pairs depends on the column list, not the data.
     """
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill)).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    row = filled.agg(
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
-        *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs],
+    means = filled.agg(F.struct(*[F.avg(c).alias(c) for c in columns]))
+    centred = filled.withColumn("_mean", means.scalar()).select(
+        *[(F.col(c) - F.col(f"_mean.{c}")).alias(c) for c in columns]
     )
-
-    def line(a: str, b: str, r: Column):
-        return F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("column_name"), r.alias("r"))
-
+    pairs = list(combinations_with_replacement(columns, 2))
+    row = centred.agg(*[F.expr(f"sum(`{a}` * `{b}`) AS `{a}__{b}`") for a, b in pairs])
     lines = []
-    for c in columns:
-        lines.append(line(c, c, F.when(F.col(f"s_{c}") > 0, F.lit(1.0))))
     for a, b in pairs:
-        r = F.try_divide(F.col(f"c_{a}_{b}"), F.col(f"s_{a}") * F.col(f"s_{b}"))
-        lines += [line(a, b, r), line(b, a, r)]
-    return row.select(F.inline(F.array(*lines)))
+        r = f"least(1.0D, greatest(-1.0D, try_divide(`{a}__{b}`, sqrt(`{a}__{a}`) * sqrt(`{b}__{b}`))))"
+        if a == b:
+            r = f"CASE WHEN `{a}__{a}` > 0 THEN 1.0D END"
+        else:
+            r = f"CASE WHEN `{a}__{a}` > 0 AND `{b}__{b}` > 0 THEN {r} END"
+            lines.append(f"named_struct('row_name', '{b}', 'column_name', '{a}', 'r', {r})")
+        lines.append(f"named_struct('row_name', '{a}', 'column_name', '{b}', 'r', {r})")
+    return row.selectExpr(f"inline(array({', '.join(lines)}))")

@@ -1,8 +1,9 @@
-"""Ordered ids, running totals and exact quantiles without a one-task window.
+"""Ordered ids, running totals and exact quantiles without an unbounded one-task window.
 
-A window without partition key moves every row to one task. Here rows are first put into ordered
-buckets whose borders are taken from a hash sample of the keys, each bucket is handled by its own
-task, and a total per bucket (at most ``BUCKETS + 1`` rows) is carried over to the later ones.
+A window without partition key moves every row to one task. That is used here only for row counts
+that were measured first. Beyond, rows are put into ordered buckets whose borders come from a hash
+sample of the keys, each bucket is handled by its own task, and the totals of the buckets (at most
+``BUCKETS + 1`` rows per group) are carried over to the later ones.
 """
 
 from __future__ import annotations
@@ -13,27 +14,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from latewatch.session import durable
+
 BUCKETS = 64
+SMALL_ROWS = 200_000
 _OVERSAMPLE = 16
 
 
-def order_buckets(df: DataFrame, key: Column, buckets: int = BUCKETS) -> DataFrame:
+def order_buckets(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     """Add ``_bucket``: rows with a smaller key never have a larger bucket.
 
     The borders depend on the keys alone, so that every evaluation gives the same buckets.
-    NULL keys share the first bucket. Meant for rows with distinct keys.
+    NULL keys share the first bucket. Meant for rows with distinct keys, in stored form.
     """
     sample = (
-        df.select(F.struct(key.alias("k")).alias("s"))
+        df.select(F.struct(F.col(key).alias("k")).alias("s"))
         .filter("s.k is not null")
         .orderBy(F.xxhash64("s"), "s")
         .limit(buckets * _OVERSAMPLE)
         .agg(F.sort_array(F.collect_list("s")).alias("cuts"))
         .select(F.filter("cuts", lambda _, i: i % _OVERSAMPLE == _OVERSAMPLE - 1))
     )
-    with_cuts = df.withColumn("_key", F.struct(key.alias("k"))).withColumn("_cuts", sample.scalar())
+    with_cuts = df.withColumn("_key", F.struct(F.col(key).alias("k"))).withColumn("_cuts", sample.scalar())
     place = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
-    return with_cuts.withColumn("_bucket", F.when(F.col("_key.k").isNull(), 0).otherwise(place)).drop("_cuts", "_key")
+    # Never NULL, so that no null check on it is pushed into the scan.
+    bucket = F.when(F.col("_key.k").isNull(), 0).otherwise(F.coalesce(place, F.lit(0)))
+    return with_cuts.withColumn("_bucket", bucket).drop("_cuts", "_key")
 
 
 def running_totals(
@@ -43,13 +49,25 @@ def running_totals(
     descending: bool = False,
     within: Sequence[str] = (),
     buckets: int = BUCKETS,
+    small: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``cum_<m>`` (running) and ``all_<m>`` (overall) sums of each measure, per ``within``.
 
     Rows must be distinct on ``within`` and ``order``. ``within`` stands for a few non-NULL groups
-    (such as column names): ``BUCKETS + 1`` rows per group are broadcast.
+    (such as column names). The rows are kept in the checkpoint folder, as they are read several
+    times; their number decides between one window and the bucketed form.
     """
-    bucketed = order_buckets(df, F.col(order), buckets)
+    rows = durable(df)
+    by_key = F.desc(order) if descending else F.asc(order)
+    if rows.count() <= small:
+        upto = W.Window.partitionBy(*within).orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
+        overall = W.Window.partitionBy(*within)
+        return rows.select(
+            "*",
+            *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
+            *[F.sum(m).over(overall).alias(f"all_{m}") for m in measures],
+        )
+    bucketed = order_buckets(rows, order, buckets)
     totals = bucketed.groupBy(*within, "_bucket").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     by_bucket = F.desc("_bucket") if descending else F.asc("_bucket")
     before = W.Window.partitionBy(*within).orderBy(by_bucket).rowsBetween(W.Window.unboundedPreceding, -1)
@@ -60,27 +78,18 @@ def running_totals(
         *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(f"_sum_{m}").over(overall).alias(f"all_{m}") for m in measures],
     )
+    # At most BUCKETS + 1 rows per group.
     joined = bucketed.join(F.broadcast(offsets), [*within, "_bucket"])
-    by_key = F.desc(order) if descending else F.asc(order)
-    upto = (
-        W.Window.partitionBy(*within, "_bucket").orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
-    )
+    upto = W.Window.partitionBy(*within, "_bucket").orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
     running = [(F.sum(m).over(upto) + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures]
     return joined.select(*df.columns, *running, *[f"all_{m}" for m in measures])
 
 
-def dense_ids(keys: DataFrame, columns: Sequence[str], name: str, proven_rows: int | None = None) -> DataFrame:
-    """Number distinct keys 1..n in key order, NULLs first.
-
-    ``proven_rows`` is a row count the caller has measured; a small one takes the plain window.
-    """
-    if proven_rows is not None and proven_rows <= 100_000:
-        window = W.Window.orderBy(*[F.asc_nulls_first(c) for c in columns])
-        return keys.withColumn(name, F.row_number().over(window).cast("bigint"))
+def dense_ids(keys: DataFrame, columns: Sequence[str], name: str, small: int = SMALL_ROWS) -> DataFrame:
+    """Number distinct keys 1..n in key order, NULLs first."""
     # A struct compares field by field with NULLs first and is never NULL itself.
     ordered = keys.select(*columns, F.struct(*columns).alias("_order"), F.lit(1).cast("bigint").alias("one"))
-    ranked = running_totals(ordered, "_order", ["one"])
-    return ranked.select(*columns, F.col("cum_one").alias(name))
+    return running_totals(ordered, "_order", ["one"], small=small).select(*columns, F.col("cum_one").alias(name))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -91,29 +100,48 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
-def quantiles_from_counts(
-    counts: DataFrame, probabilities: Sequence[float], interpolate: bool = False
-) -> DataFrame:
-    """Exact quantiles ``q_0, q_1, …`` per column from a value-count table.
+def ranked_values(df: DataFrame, columns: Sequence[str], small: int = SMALL_ROWS) -> DataFrame:
+    """Value counts with their running and overall number per column: the basis of exact quantiles."""
+    return running_totals(value_counts(df, columns), "value", ["n"], within=["column_name"], small=small)
+
+
+def quantiles_of(ranked: DataFrame, probabilities: Sequence[float], interpolate: bool = False) -> DataFrame:
+    """Exact quantiles ``q_0, q_1, …`` per column of ranked value counts.
 
     Without interpolation the result is an element of the data (the discrete percentile).
     """
-    ranked = running_totals(counts, "value", ["n"], within=["column_name"])
     columns: list[Column] = [F.first("all_n").alias("n")]
-    for i, p in enumerate(probabilities):
+    for i, p in enumerate(map(float, probabilities)):
         if interpolate:
-            place = (F.col("all_n") - 1) * F.lit(float(p))
-            low = F.min(F.when(F.col("cum_n") > F.floor(place), F.col("value")))
-            high = F.min(F.when(F.col("cum_n") > F.ceil(place), F.col("value")))
-            share = F.first(place - F.floor(place))
-            columns.append((low + (high - low) * share).alias(f"q_{i}"))
+            place = f"(all_n - 1) * {p!r}D"
+            low = f"min(CASE WHEN cum_n > floor({place}) THEN value END)"
+            high = f"min(CASE WHEN cum_n > ceil({place}) THEN value END)"
+            columns.append(F.expr(f"{low} + ({high} - {low}) * first({place} - floor({place}))").alias(f"q_{i}"))
         else:
-            columns.append(F.min(F.when(F.col("cum_n") >= F.col("all_n") * F.lit(float(p)), F.col("value"))).alias(f"q_{i}"))
+            columns.append(F.expr(f"min(CASE WHEN cum_n >= all_n * {p!r}D THEN value END)").alias(f"q_{i}"))
     return ranked.groupBy("column_name").agg(*columns)
 
 
+def quantile_rows(ranked: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Discrete quantiles as rows (column_name, point, probability, value); for long lists.
+
+    Each value names the probabilities that end on it, so that nothing has to be aggregated.
+    """
+    listed = F.array(*[F.struct(F.lit(i).alias("point"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
+    hit = F.filter(
+        "_listed",
+        lambda s: (F.greatest(s["p"] * F.col("all_n"), F.lit(1.0)) > F.col("cum_n") - F.col("n"))
+        & (F.greatest(s["p"] * F.col("all_n"), F.lit(1.0)) <= F.col("cum_n")),
+    )
+    found = ranked.withColumn("_listed", listed).select("column_name", "value", F.explode(hit).alias("s"))
+    return found.select("column_name", F.col("s.point").alias("point"), F.col("s.p").alias("probability"), "value")
+
+
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.25, 0.5, 0.75), error: float = 0.0,
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = (0.25, 0.5, 0.75),
+    error: float = 0.0,
     interpolate: bool = False,
 ) -> DataFrame:
     """Quantiles ``q_0, q_1, …`` of numeric columns, one row per column.
@@ -122,7 +150,7 @@ def quantiles(
     error uses one mergeable sketch per column and shuffles only those.
     """
     if error <= 0:
-        return quantiles_from_counts(value_counts(df, columns), probabilities, interpolate)
+        return quantiles_of(ranked_values(df, columns), probabilities, interpolate)
     accuracy = max(1, round(1 / error))
     row = df.agg(
         *[F.count(c).alias(f"{c}_n") for c in columns],

@@ -30,12 +30,10 @@ def build_dimensions(features: DataFrame, ids: Mapping[str, str] = DIMENSION_IDS
     ids, size checks and joins all see the same rows without touching the features again.
     """
     values = durable(distinct_values(features, list(ids)))
-    sizes = {row.column_name: row["count"] for row in values.groupBy("column_name").count().collect()}
     dimensions = {}
     for key, id_column in ids.items():
         members = values.filter(F.col("column_name") == key).select(F.col("value").alias(key))
-        numbered = dense_ids(members, [key], id_column, proven_rows=sizes.get(key, 0))
-        dimensions[key] = numbered.select(key, id_column)
+        dimensions[key] = durable(dense_ids(members, [key], id_column))
     return dimensions
 
 

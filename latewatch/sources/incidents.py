@@ -1,83 +1,51 @@
-"""Raw incident records derived from an event table.
-
-Every event becomes one messy record: the rules below, all functions of the event's own columns,
-exercise each cleaning branch (bad dates, blanks, vendor codes, free-text delays, missing keys).
-"""
+"""Raw incident records derived from an event table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from latewatch.functions.calendar import RECORD_CLOCK
 from latewatch.schema import RAW_COLUMNS
 
-
-def _pick(index: Column, values: list[str], otherwise: str | Column) -> Column:
-    """values[index], or ``otherwise`` beyond the list."""
-    other = F.lit(otherwise) if isinstance(otherwise, str) else otherwise
-    choice = F.when(index == 0, F.lit(values[0]))
-    for position, value in enumerate(values[1:], start=1):
-        choice = choice.when(index == position, F.lit(value))
-    return choice.otherwise(other)
-
-
-def _delay_text(event: Column, value: Column) -> Column:
-    index = event % 11
-    fixed = {
-        1: "1 HOUR",
-        2: "15-30 Min",
-        3: "0-15 Min",
-        4: "1-2 HOURS",
-        5: "half hour",
-        6: "31 - 45 min",
-        7: "4 hrs",
-    }
-    text = F.when(index == 0, F.lit(None).cast("string"))
-    for position, words in fixed.items():
-        text = text.when(index == position, F.lit(words))
-    return text.otherwise(F.concat(F.floor(value).cast("string"), F.lit(" MINS")))
+# Every event becomes one raw record by these expressions; the columns left out stay NULL.
+RECORD_RULES = {
+    "School_Year": "concat_ws('-', event_id % 10 + 2014, event_id % 10 + 2015)",
+    "Busbreakdown_ID": "cast(event_id AS string)",
+    "Run_Type": """
+        CASE event_id % 4 WHEN 0 THEN 'Special Ed AM Run' WHEN 1 THEN 'Special Ed PM Run'
+                          WHEN 2 THEN 'General Ed AM Run' ELSE 'Pre-K/EI' END""",
+    "Reason": """
+        CASE WHEN event_id % 60 = 0 THEN NULL ELSE element_at(
+            array('Heavy Traffic', 'Mechanical Problem', ' Flat Tire ', 'Weather Conditions', 'Other'),
+            cast(event_id % 5 AS int) + 1) END""",
+    "Occurred_On": """
+        CASE WHEN event_id % 101 = 0 THEN 'not a date'
+             WHEN event_id % 97 = 0 THEN '01/01/1900 07:00:00 AM'
+             ELSE date_format(ts - make_dt_interval(cast(event_id % 3650 AS int)), 'MM/dd/yyyy hh:mm:ss a') END""",
+    "Boro": """
+        CASE WHEN event_id % 58 = 0 THEN NULL
+             WHEN event_id % 59 = 0 THEN '  '
+             ELSE element_at(array('BROOKLYN', 'Queens', ' staten island ', 'Bronx'), cast(user_id % 4 AS int) + 1) END""",
+    "Bus_Company_Name": """
+        CASE WHEN user_id % 20 = 7 THEN ''
+             ELSE concat('Operator ', user_id % 20, ' Bus Co., Inc. (B', user_id, ')') END""",
+    "How_Long_Delayed": """
+        CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN '1 HOUR' WHEN 2 THEN '15-30 Min' WHEN 3 THEN '0-15 Min'
+                           WHEN 4 THEN '1-2 HOURS' WHEN 5 THEN 'half hour' WHEN 6 THEN '31 - 45 min' WHEN 7 THEN '4 hrs'
+                           ELSE concat(floor(value), ' MINS') END""",
+    "Number_Of_Students_On_The_Bus": """
+        CASE WHEN event_id % 13 = 0 THEN 'n/a' WHEN event_id % 17 = 0 THEN '-2' ELSE cast(user_id % 9 AS string) END""",
+    "Has_Contractor_Notified_Schools": "if(event_id % 2 = 0, 'Yes', 'No')",
+    "Has_Contractor_Notified_Parents": "if(event_id % 3 = 0, 'YES ', 'No')",
+    "Have_You_Alerted_OPT": "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'yes' ELSE 'no' END",
+    "Breakdown_or_Running_Late": """
+        CASE WHEN event_id % 211 = 0 THEN 'Unknown' WHEN event_type = 'error' THEN 'Breakdown' ELSE 'Running Late' END""",
+    "School_Age_or_PreK": "if(event_id % 4 = 3, 'Pre-K', 'School-Age')",
+}
 
 
 def records_from_events(events: DataFrame) -> DataFrame:
-    """Event table to raw incident records (21 string columns, seven of them unused and NULL)."""
-    event, user = F.col("event_id"), F.col("user_id")
-    missing = F.lit(None).cast("string")
-    shifted = F.col("ts") - F.make_dt_interval((event % 3650).cast("int"))
-    columns = {
-        "School_Year": F.concat_ws(
-            "-", (event % 10 + 2014).cast("string"), (event % 10 + 2015).cast("string")
-        ),
-        "Busbreakdown_ID": event.cast("string"),
-        "Run_Type": _pick(event % 4, ["Special Ed AM Run", "Special Ed PM Run", "General Ed AM Run"], "Pre-K/EI"),
-        "Reason": F.when(
-            event % 60 != 0,
-            _pick(event % 5, ["Heavy Traffic", "Mechanical Problem", " Flat Tire ", "Weather Conditions"], "Other"),
-        ),
-        "Occurred_On": F.when(event % 101 == 0, "not a date")
-        .when(event % 97 == 0, "01/01/1900 07:00:00 AM")
-        .otherwise(F.date_format(shifted, RECORD_CLOCK)),
-        "Boro": F.when(event % 58 == 0, missing)
-        .when(event % 59 == 0, "  ")
-        .otherwise(_pick(user % 4, ["BROOKLYN", "Queens", " staten island "], "Bronx")),
-        "Bus_Company_Name": F.when(user % 20 == 7, "").otherwise(
-            F.concat(
-                F.lit("Operator "), (user % 20).cast("string"), F.lit(" Bus Co., Inc. (B"), user.cast("string"), F.lit(")")
-            )
-        ),
-        "How_Long_Delayed": _delay_text(event, F.col("value")),
-        "Number_Of_Students_On_The_Bus": F.when(event % 13 == 0, "n/a")
-        .when(event % 17 == 0, "-2")
-        .otherwise((user % 9).cast("string")),
-        "Has_Contractor_Notified_Schools": F.when(event % 2 == 0, "Yes").otherwise("No"),
-        "Has_Contractor_Notified_Parents": F.when(event % 3 == 0, "YES ").otherwise("No"),
-        "Have_You_Alerted_OPT": F.when(event % 7 == 0, missing).when(event % 5 == 0, "yes").otherwise("no"),
-        "Breakdown_or_Running_Late": F.when(event % 211 == 0, "Unknown")
-        .when(F.col("event_type") == "error", "Breakdown")
-        .otherwise("Running Late"),
-        "School_Age_or_PreK": F.when(event % 4 == 3, "Pre-K").otherwise("School-Age"),
-    }
-    return events.select(*[columns.get(name, missing).alias(name) for name in RAW_COLUMNS])
+    """Event table to raw incident records (21 string columns)."""
+    return events.selectExpr(*[f"{RECORD_RULES.get(c, 'cast(NULL AS string)')} AS {c}" for c in RAW_COLUMNS])
 
 
 def incident_records(spark: SparkSession, sf_dir: str) -> DataFrame:
