@@ -11,20 +11,26 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a side table is small enough to copy to every executor.
+def fits_broadcast(*sides: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether side tables are, together, small enough to copy to every executor.
 
-    Measured, not estimated: row count and text length of all its columns plus eight bytes each.
-    Hand in a durable or stored side table, or it is computed once more for this.
+    Measured, not estimated: row count and text length of all columns plus eight bytes each, in one
+    job. Hand in durable or stored side tables, or they are computed once more for this.
     """
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in side.columns), F.lit(0))
-    found = side.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    measured = None
+    for side in sides:
+        width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in side.columns), F.lit(0))
+        part = side.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
+        measured = part if measured is None else measured.unionByName(part)
+    found = measured.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
     return found.n <= rows and found.b <= size
 
 
-def sized(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """The side table, marked for broadcast where its measured size allows that."""
-    return F.broadcast(side) if fits_broadcast(side, rows, size) else side
+def sized(**sides: DataFrame) -> dict[str, DataFrame]:
+    """Side tables, marked for broadcast where their measured size allows that."""
+    if fits_broadcast(*sides.values()):
+        return {name: F.broadcast(side) for name, side in sides.items()}
+    return {name: F.broadcast(side) if fits_broadcast(side) else side for name, side in sides.items()}
 
 
 def join_dimension(
@@ -32,17 +38,17 @@ def join_dimension(
     side: DataFrame,
     key: str | list[str],
     how: str = "left",
-    rows: int = BROADCAST_ROWS,
-    size: int = BROADCAST_BYTES,
+    fits: bool | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left, inner or anti equi-join of a large table with a side table that is unique on the key.
 
+    ``fits`` is the outcome of the size check where the caller has made it already.
     Below the bounds the side is broadcast and the large table is not shuffled. Beyond them both
     sides are shuffled on key and salt: the side is copied once per salt, the rows of a hot key
     (and the rows without a key) are spread over all salts.
     """
-    if fits_broadcast(side, rows, size):
+    if fits_broadcast(side) if fits is None else fits:
         return fact.join(F.broadcast(side), key, how)
     keys = [key] if isinstance(key, str) else list(key)
     copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

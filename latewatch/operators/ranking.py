@@ -85,11 +85,16 @@ def running_totals(
     return joined.select(*df.columns, *running, *[f"all_{m}" for m in measures])
 
 
-def dense_ids(keys: DataFrame, columns: Sequence[str], name: str, small: int = SMALL_ROWS) -> DataFrame:
-    """Number distinct keys 1..n in key order, NULLs first."""
+def dense_ids(
+    keys: DataFrame, columns: Sequence[str], name: str, within: Sequence[str] = (), small: int = SMALL_ROWS
+) -> DataFrame:
+    """Number distinct keys 1..n in key order, NULLs first (per ``within`` group)."""
     # A struct compares field by field with NULLs first and is never NULL itself.
-    ordered = keys.select(*columns, F.struct(*columns).alias("_order"), F.lit(1).cast("bigint").alias("one"))
-    return running_totals(ordered, "_order", ["one"], small=small).select(*columns, F.col("cum_one").alias(name))
+    ordered = keys.select(
+        *within, *columns, F.struct(*columns).alias("_order"), F.lit(1).cast("bigint").alias("one")
+    )
+    ranked = running_totals(ordered, "_order", ["one"], within=within, small=small)
+    return ranked.select(*within, *columns, F.col("cum_one").alias(name))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latewatch import functions as fn
-from latewatch.operators.joins import join_dimension
+from latewatch.operators.joins import fits_broadcast, join_dimension
 from latewatch.operators.ranking import dense_ids
 from latewatch.schema import CALENDAR_KEY, DIMENSION_IDS, FACT_INCIDENT, FEATURE_COLUMNS
 from latewatch.session import durable
@@ -26,15 +26,16 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def build_dimensions(features: DataFrame, ids: Mapping[str, str] = DIMENSION_IDS) -> dict[str, DataFrame]:
     """One dimension per natural key: every distinct value, NULL included, numbered in key order.
 
-    The distinct values of all keys come from one scan and are kept in the checkpoint folder, so that
-    ids, size checks and joins all see the same rows without touching the features again.
+    The distinct values of all keys come from one scan, are numbered together and kept in the
+    checkpoint folder, so that ids, size checks and joins all see the same rows without touching the
+    features again.
     """
-    values = durable(distinct_values(features, list(ids)))
-    dimensions = {}
-    for key, id_column in ids.items():
-        members = values.filter(F.col("column_name") == key).select(F.col("value").alias(key))
-        dimensions[key] = durable(dense_ids(members, [key], id_column))
-    return dimensions
+    values = distinct_values(features, list(ids))
+    numbered = durable(dense_ids(values, ["value"], "id", within=["column_name"]))
+    return {
+        key: numbered.filter(F.col("column_name") == key).select(F.col("value").alias(key), F.col("id").alias(id_column))
+        for key, id_column in ids.items()
+    }
 
 
 def calendar_dimension(features: DataFrame, key: Sequence[str] = CALENDAR_KEY, name: str = "date_id") -> DataFrame:
@@ -54,8 +55,9 @@ def date_dimension(features: DataFrame) -> DataFrame:
 
 def attach_ids(features: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Left-join the surrogate id of every dimension by plain equality: a NULL key has no id."""
+    together = fits_broadcast(*dimensions.values()) or None
     for key, dimension in dimensions.items():
-        features = join_dimension(features, dimension.filter(F.col(key).isNotNull()), key)
+        features = join_dimension(features, dimension.filter(F.col(key).isNotNull()), key, fits=together)
     return features
 
 

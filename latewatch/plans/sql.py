@@ -110,7 +110,7 @@ def star_frames(fact: DataFrame, **dimensions: DataFrame) -> dict[str, DataFrame
 
     Hand in stored or durable dimensions.
     """
-    return {"fact_incident": fact, **{name: sized(frame) for name, frame in dimensions.items()}}
+    return {"fact_incident": fact, **sized(**dimensions)}
 
 
 def operator_league(incidents: DataFrame, min_incidents: int = 1000, top: int = 10) -> DataFrame:

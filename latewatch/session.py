@@ -34,6 +34,7 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Longer generated methods are not compiled by the JVM; let Spark split them instead.
         "spark.sql.codegen.hugeMethodLimit": "8000",
         # Recording the calling line of every expression costs more than building it.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from latewatch.schema import RAW_COLUMNS
+from latewatch.sources.readers import fill_cores, read_table
 
 # Every event becomes one raw record by these expressions; the columns left out stay NULL.
 RECORD_RULES = {
@@ -50,4 +51,5 @@ def records_from_events(events: DataFrame) -> DataFrame:
 
 def incident_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw incident records over the event table of a data folder."""
-    return records_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    return records_from_events(fill_cores(read_table(spark, f"{sf_dir}/events.parquet", columns)))

@@ -43,6 +43,15 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return table.select(*columns) if columns else table
 
 
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than there are cores, before costly work on its rows.
+
+    One small file is one task. A scan with enough partitions, as any large one has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_timestamp(df: DataFrame, column: str = "occurred_ts") -> DataFrame:
     """Make sure ``column`` is a timestamp; texts that are none become NULL."""
     if dict(df.dtypes)[column] == "string":
