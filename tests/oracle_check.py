@@ -40,9 +40,8 @@ def _cell(value):
     return repr(value)
 
 
-def compare(spark, con, run, statement: str, sf_dir: str) -> str | None:
+def compare(df, con, statement: str) -> str | None:
     """None when equal, else what differs."""
-    df = run(spark, sf_dir)
     ours = {name: FAMILIES.get(kind, kind) for name, kind in df.dtypes}
     rows = [tuple(row) for row in df.collect()]
     result = con.execute(statement)
@@ -81,7 +80,7 @@ def main() -> int:
         start = time.perf_counter()
         try:
             if name in statements:
-                problem = compare(spark, con, run, statements[name], sf_dir)
+                problem = compare(run(spark, sf_dir), con, statements[name])
             else:
                 problem = None if run(spark, sf_dir).count() > 0 else "no rows"
         except Exception as error:  # noqa: BLE001 - report and go on
