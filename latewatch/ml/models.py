@@ -66,10 +66,10 @@ def with_probability(predictions: DataFrame, name: str = "p1") -> DataFrame:
 
 
 def classification_metrics(predictions: DataFrame, label: str = BREAKDOWN_RISK.label) -> dict[str, float]:
-    """All classification metrics of a prediction frame, from two aggregations."""
-    scored = with_probability(predictions).select(label, "prediction", "p1")
-    row = metrics.classification_scores(scored, label, "prediction").first().asDict()
-    return {**row, **metrics.area_under_curves(scored, label, "p1").first().asDict()}
+    """All classification metrics of a prediction frame: the model is applied once for both aggregations."""
+    with cached(with_probability(predictions).select(label, "prediction", "p1")) as (scored,):
+        row = metrics.classification_scores(scored, label, "prediction").first().asDict()
+        return {**row, **metrics.area_under_curves(scored, label, "p1").first().asDict()}
 
 
 def regression_metrics(predictions: DataFrame, label: str = DELAY_MINUTES.label) -> dict[str, float]:

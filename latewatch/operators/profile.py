@@ -28,6 +28,10 @@ CORRELATED = (
 )
 
 
+# Statistics of a numeric column; skewness and excess kurtosis are those of the population.
+STATISTICS = {"mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max, "skew": F.skewness, "kurt": F.kurtosis}
+
+
 def _one_row_per_column(row: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Turn one row of ``<column>__<field>`` values into one row per column."""
     lines = [
@@ -37,11 +41,26 @@ def _one_row_per_column(row: DataFrame, columns: Sequence[str], fields: Sequence
     return row.select(F.inline(F.array(*lines)))
 
 
+def null_measures(columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"{c}__n_nulls") for c in columns]
+
+
+def moment_measures(columns: Sequence[str]) -> list[Column]:
+    return [f(F.col(c).cast("double")).alias(f"{c}__{name}") for c in columns for name, f in STATISTICS.items()]
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULLs per column, all columns in one pass."""
     names = list(columns or df.columns)
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__n_nulls") for c in names])
-    return _one_row_per_column(row, names, ["n_nulls"])
+    return _one_row_per_column(df.agg(*null_measures(names)), names, ["n_nulls"])
+
+
+def level_counts(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFrame:
+    """Rows per value of several categorical columns, NULL included, in one pass."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "value"
+    )
+    return long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def cardinality(
@@ -67,18 +86,7 @@ def cardinality(
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] = NUMERICS) -> DataFrame:
     """Mean, sample deviation, extremes, population skewness and excess kurtosis; one pass."""
-    statistics = {
-        "mean": F.avg,
-        "std": F.stddev,
-        "min": F.min,
-        "max": F.max,
-        "skew": F.skewness,
-        "kurt": F.kurtosis,
-    }
-    row = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{c}__{name}") for c in columns for name, f in statistics.items()]
-    )
-    return _one_row_per_column(row, columns, list(statistics))
+    return _one_row_per_column(df.agg(*moment_measures(columns)), columns, list(STATISTICS))
 
 
 def outlier_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5, error: float = 0.0) -> DataFrame:
@@ -89,7 +97,11 @@ def outlier_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5, e
     """
     if error > 0:
         return _sketched_fences(df, columns, factor, error)
-    counts = ranked_values(df, columns)
+    return fences_of(ranked_values(df, columns), factor)
+
+
+def fences_of(counts: DataFrame, factor: float = 1.5) -> DataFrame:
+    """Outlier fences from ranked value counts."""
     quartiles = quantiles_of(counts, [0.25, 0.75]).select("column_name", *_fences("q_0", "q_1", factor))
     # One row per profiled column.
     return (

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from latewatch import functions as fn
 from latewatch.ml import features as ml_features
 from latewatch.ml import models as ml_models
-from latewatch.operators import profile, quality, ranking, reports, split, star
+from latewatch.operators import profile, quality, ranking, split, star
 from latewatch.operators.features import derive_features
 from latewatch.plans import sql
 from latewatch.schema import DIMENSION_TABLES, FACT_INCIDENT, TABLES
+from latewatch.session import durable
 from latewatch.sources import writers
 from latewatch.sources.readers import read_table
 
@@ -49,30 +50,36 @@ def ingest(raw: DataFrame, out: str, partition_by: Sequence[str] = (), sample_ro
 def profile_document(df: DataFrame) -> dict[str, object]:
     """Nulls, cardinalities, moments, quartiles, class balance, rates and outlier fences as one document.
 
-    Six small results; every aggregate covers all of its columns in one pass.
+    Three scans: one row of plain aggregates, the value counts of the numeric columns (quartiles and
+    fences follow from them) and the level counts of the categorical ones.
     """
-    nulls = {r.column_name: r.n_nulls for r in profile.null_counts(df).collect()}
-    levels = {r.column_name: r.n_distinct for r in profile.cardinality(df).collect()}
-    stats = {r.column_name: r.asDict() for r in profile.numeric_profile(df).collect()}
+    nulls, moments = profile.null_measures(df.columns), profile.moment_measures(profile.NUMERICS)
+    rates = [F.avg("is_breakdown").alias("breakdown_rate"), F.avg("on_time").alias("on_time_rate")]
+    row = df.agg(F.count("*").alias("n_rows"), *rates, *nulls, *moments).first()
     ranked = ranking.ranked_values(df, profile.NUMERICS)
-    for row in ranking.quantiles_of(ranked, [0.25, 0.5, 0.75]).collect():
-        stats[row.column_name] |= {"q25": row.q_0, "median": row.q_1, "q75": row.q_2}
-    balance = {r.incident_type: r.cnt for r in reports.class_balance(df).collect()}
-    rates = reports.global_rates(df).first().asDict()
-    fences = {
-        r.column_name: r.asDict() for r in profile.outlier_fences(df, ["delay_minutes", "students_on_bus"]).collect()
-    }
-    for rows in (stats, fences):
-        for row in rows.values():
-            row.pop("column_name", None)
+    quartiles = {r.column_name: r for r in ranking.quantiles_of(ranked, [0.25, 0.5, 0.75]).collect()}
+    fenced = profile.fences_of(ranked.filter(F.col("column_name").isin("delay_minutes", "students_on_bus")))
+    levels = durable(profile.level_counts(df))
+    cardinality = levels.groupBy("column_name").agg(F.count("*").alias("n"))
+    balance = levels.filter("column_name = 'incident_type'")
     return {
-        "n_rows": sum(balance.values()),
-        "null_counts": nulls,
-        "cardinality": levels,
-        "stats": stats,
-        "class_balance": balance,
-        **rates,
-        "outliers": fences,
+        "n_rows": row.n_rows,
+        "null_counts": {c: row[f"{c}__n_nulls"] for c in df.columns},
+        "cardinality": {r.column_name: r.n for r in cardinality.collect()},
+        "stats": {
+            c: {
+                **{name: row[f"{c}__{name}"] for name in profile.STATISTICS},
+                "q25": quartiles[c].q_0,
+                "median": quartiles[c].q_1,
+                "q75": quartiles[c].q_2,
+            }
+            for c in profile.NUMERICS
+            if c in quartiles
+        },
+        "class_balance": {r.value: r.n for r in balance.collect()},
+        "breakdown_rate": row.breakdown_rate,
+        "on_time_rate": row.on_time_rate,
+        "outliers": {r.column_name: {k: v for k, v in r.asDict().items() if k != "column_name"} for r in fenced.collect()},
     }
 
 

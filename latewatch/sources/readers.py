@@ -43,13 +43,18 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return table.select(*columns) if columns else table
 
 
+# Scans of fewer partitions than this may be spread; a larger scan keeps enough tasks busy by itself.
+FEW_PARTITIONS = 64
+
+
 def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than there are cores, before costly work on its rows.
+    """Spread a small scan that would leave cores idle, before costly work on its rows.
 
-    One small file is one task. A scan with enough partitions, as any large one has, stays as it is.
+    One small file is one task. A scan of many partitions is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    found = df.rdd.getNumPartitions()
+    return df.repartition(min(cores, FEW_PARTITIONS)) if found < min(cores, FEW_PARTITIONS) else df
 
 
 def with_timestamp(df: DataFrame, column: str = "occurred_ts") -> DataFrame:

@@ -20,12 +20,17 @@ def write_table(
     files: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Parquet, evenly sized files.
+    """Parquet.
 
-    ``files`` asks for an exact number of round-robin partitions; without it adaptive execution
-    sizes them. ``partition_by`` lays the table out so that filters on it skip folders.
+    Each task writes its rows as they are, without a shuffle. ``files`` asks for an exact number of
+    round-robin partitions instead. ``partition_by`` lays the table out so that filters on it skip
+    folders; rows are brought together by it first, or every task would write a file per value.
     """
-    out = df.repartition(files) if files else spread(df, None, *partition_by)
+    out = df
+    if files:
+        out = df.repartition(files)
+    elif partition_by:
+        out = spread(df, None, *partition_by)
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
