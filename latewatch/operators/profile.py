@@ -163,13 +163,19 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, fill:
     )
     pairs = list(combinations_with_replacement(columns, 2))
     row = centred.agg(*[F.expr(f"sum(`{a}` * `{b}`) AS `{a}__{b}`") for a, b in pairs])
-    lines = []
-    for a, b in pairs:
-        r = f"least(1.0D, greatest(-1.0D, try_divide(`{a}__{b}`, sqrt(`{a}__{a}`) * sqrt(`{b}__{b}`))))"
-        if a == b:
-            r = f"CASE WHEN `{a}__{a}` > 0 THEN 1.0D END"
-        else:
-            r = f"CASE WHEN `{a}__{a}` > 0 AND `{b}__{b}` > 0 THEN {r} END"
-            lines.append(f"named_struct('row_name', '{b}', 'column_name', '{a}', 'r', {r})")
-        lines.append(f"named_struct('row_name', '{a}', 'column_name', '{b}', 'r', {r})")
-    return row.selectExpr(f"inline(array({', '.join(lines)}))")
+    lines = [
+        f"named_struct('a', '{a}', 'b', '{b}', 'ab', `{a}__{b}`, 'aa', `{a}__{a}`, 'bb', `{b}__{b}`)" for a, b in pairs
+    ]
+    sums = row.selectExpr(f"inline(array({', '.join(lines)}))")
+    r = (
+        F.when(F.col("a") == F.col("b"), F.when(F.col("aa") > 0, F.lit(1.0)))
+        .when((F.col("aa") > 0) & (F.col("bb") > 0), F.expr("greatest(-1.0D, least(1.0D, ab / (sqrt(aa) * sqrt(bb))))"))
+        .alias("r")
+    )
+    # Every pair of different columns stands in both triangles of the matrix.
+    both = F.expr(
+        "CASE WHEN a = b THEN array(struct(a, b)) ELSE array(struct(a, b), struct(b AS a, a AS b)) END"
+    )
+    return sums.select(F.explode(both).alias("pair"), r).select(
+        F.col("pair.a").alias("row_name"), F.col("pair.b").alias("column_name"), "r"
+    )
