@@ -166,7 +166,7 @@ def classification(incidents: DataFrame, out: str, tune: bool = True, estimators
         with ml_models.cached(rows) as (held,):
             _, document["cross_validation"] = ml_models.tune_logistic(held)
     writers.write_model(outcome.whole_model(best), f"{out}/model_{best}")
-    writers.write_document(document, f"{out}/classification_metrics.json")
+    writers.write_document(incidents.sparkSession, document, f"{out}/classification_metrics.json")
     return document
 
 
@@ -187,5 +187,5 @@ def regression(incidents: DataFrame, out: str, sample: float = 0.05, estimators=
         "feature_importances": [r.asDict() for r in ranked.collect()] if ranked is not None else [],
     }
     writers.write_model(outcome.whole_model(best), f"{out}/model_{best.replace(' ', '_')}")
-    writers.write_document(document, f"{out}/regression_metrics.json")
+    writers.write_document(incidents.sparkSession, document, f"{out}/regression_metrics.json")
     return document

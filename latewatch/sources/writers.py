@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latewatch.schema import Table
@@ -86,10 +85,10 @@ def write_dump(frames: Mapping[str, DataFrame], tables: Sequence[Table], folder:
         insert_statements(rows, table.name).write.mode("overwrite").text(f"{folder}/{table.name}")
 
 
-def write_document(document: Mapping[str, object], path: str) -> None:
-    """A small metrics document as JSON text."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(document, indent=2))
+def write_document(spark: SparkSession, document: Mapping[str, object], path: str) -> None:
+    """A small metrics document as JSON text, on whatever file system the path names."""
+    text = spark.createDataFrame([(json.dumps(document),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_model(model, path: str) -> None:
