@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, exact_dedup, mixing, toxicity
+from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, toxicity
 from latewatch.llm.inputs import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judge_copies(table(spark, sf_dir, "documents"))
 
 
+@register()
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @register(mixing.ORACLE)
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
