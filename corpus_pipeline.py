@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from latewatch.llm import bpe, exact_dedup, mixing, toxicity
+from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, toxicity
 from latewatch.llm.inputs import table
 from latewatch.session import ensure_checkpoint_dir
 
@@ -27,6 +27,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return bag_minhash.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
@@ -40,6 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]
