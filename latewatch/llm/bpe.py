@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from latewatch.llm.inputs import TaskCache, texts
 
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 250_000
 #: Blanks to Python but not to the tokenizer's pattern.
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -249,7 +249,7 @@ def tokenizer(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
-def by_size(batch: pa.RecordBatch, column: int, most: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of so many bytes of text; a single longer text is a part of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
@@ -300,8 +300,12 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokenizer(path).tokens
         for batch in batches:
-            texts = [" ".join(map(tokens.__getitem__, ids)) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+            for start in range(0, batch.num_rows, 1_000):  # the strings of a whole batch would be many times its ids
+                part = batch.slice(start, 1_000)
+                lists = part.column(1)
+                ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                texts = [" ".join(map(tokens.__getitem__, ids[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
