@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, toxicity
+from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, quality, token_rollup, toxicity, url_rules
 from latewatch.llm.inputs import table
+from latewatch.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,11 +25,29 @@ def register(oracle: str | None = None):
     return add
 
 
+@register(url_rules.oracle())
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @register(exact_dedup.ORACLE)
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judge_copies(table(spark, sf_dir, "documents"))
 
 
+@register(token_rollup.ORACLE)
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_rollup(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ensure_checkpoint_dir(spark)
+    )
+
+
+@register()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register()
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
