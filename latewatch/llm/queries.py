@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, quality, token_rollup, toxicity, url_rules
+from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, quality, token_rollup, toxicity, url_rules
 from latewatch.llm.inputs import table
 from latewatch.session import ensure_checkpoint_dir
 
@@ -30,6 +30,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"))
 
 
+@register()
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.annotate(table(spark, sf_dir, "documents")))
+
+
 @register(exact_dedup.ORACLE)
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.judge_copies(table(spark, sf_dir, "documents"))
@@ -63,6 +68,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))).drop("ids")
 
 
+@register()
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @register()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -39,11 +39,11 @@ def count_tokens(docs: DataFrame, counts: dict[str, Column]) -> DataFrame:
     return rows.select("doc_id", "source", "lang", F.explode(each).alias("c")).select("doc_id", "source", "lang", "c.*")
 
 
-def words_v1(text: Column = F.col("text")) -> Column:
+def words_v1(text: Column) -> Column:
     return word_count(text)
 
 
-def pieces_v2(text: Column = F.col("text")) -> Column:
+def pieces_v2(text: Column) -> Column:
     """Runs of letters a-z and of digits, and every other character but blanks. Each becomes one mark, then blanks go."""
     marked = F.regexp_replace(F.regexp_replace(text, r"[A-Za-z]+|[0-9]+", "w"), r"[\x20\x09-\x0D]+", "")
     return F.length(marked)
@@ -130,7 +130,7 @@ def corpus_rollup(spark: SparkSession, docs: DataFrame, labels: DataFrame, folde
     Batches are sent twice, as after a failure."""
     rollup = Rollup(spark, f"{folder}/rollup-{uuid.uuid4()}")
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    first, second = {"words-1": words_v1()}, {"pieces-2": pieces_v2()}
+    first, second = {"words-1": words_v1(F.col("text"))}, {"pieces-2": pieces_v2(F.col("text"))}
     bad = docs.join(marks.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
     good = docs.join(marks.filter("quality = 0").select("doc_id"), "doc_id", "left_anti")
     toxic = good.join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
