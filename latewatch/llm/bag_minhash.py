@@ -206,8 +206,8 @@ def verify(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: floa
     )
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """Members of buckets with several components, gathered in tiles of a bounded number of rows.
+def _tiles(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Members of buckets with several components, with their sketches, gathered in tiles of a bounded number of rows.
 
     The largest component of a bucket need not be compared with itself: the others' blocks meet each other and the
     blocks of the largest. A tile holds two blocks; ``side`` tells which one a member belongs to (2: the only block).
@@ -246,14 +246,15 @@ def _tiles(members: DataFrame) -> DataFrame:
     )
     return (
         members.join(per, bucket)
-        .select(*bucket, "node", "label", F.explode(places).alias("tile"))
+        .join(sketches, "node")
+        .select(*bucket, "node", "label", "sketch", F.explode(places).alias("tile"))
         .groupBy(*bucket, "tile.kind", "tile.i", "tile.j")
-        .agg(F.collect_list(F.struct("node", "label", F.col("tile.side").alias("side"))).alias("held"))
+        .agg(F.collect_list(F.struct("node", "label", "sketch", F.col("tile.side").alias("side"))).alias("held"))
         .filter(F.size("held") > 1)
     )
 
 
-def promising(tiles: DataFrame, sketches: DataFrame, most: int, cut: float) -> DataFrame:
+def promising(tiles: DataFrame, most: int, cut: float) -> DataFrame:
     """``a, b, more`` of members of different components whose sketches agree well enough: of each member of a tile the
     ``most`` best partners; ``more`` where it has further ones."""
 
@@ -277,14 +278,7 @@ def promising(tiles: DataFrame, sketches: DataFrame, most: int, cut: float) -> D
                 [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_more, pa.bool_())], names=["a", "b", "more"]
             )
 
-    rows = (
-        tiles.select(F.monotonically_increasing_id().alias("tile"), F.explode("held").alias("m"))
-        .select("tile", "m.*")
-        .join(sketches, "node")
-        .groupBy("tile")
-        .agg(F.collect_list(F.struct("node", "label", "side", "sketch")).alias("held"))
-    )
-    return rows.select("held").mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    return tiles.select("held").mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 # ---------------------------------------------------------------- classes
@@ -323,12 +317,11 @@ def near_classes(
         placed = members.select("band", "key", "node").join(labels, "node", "left").select(
             "band", "key", "node", F.coalesce("label", "node").alias("label")
         )
-        found = durable(promising(_tiles(placed), nodes.select("node", "sketch"), most, cut).join(checked, ["a", "b"], "left_anti"))
-        if found.isEmpty():
-            more = False
-        else:
-            more = not found.filter("more").isEmpty()
-            fresh = verify(found.select("a", "b"), nodes, rows, similarity)
+        found = durable(promising(_tiles(placed, nodes.select("node", "sketch")), most, cut))
+        more = not found.filter("more").isEmpty()
+        new = found.select("a", "b").join(checked, ["a", "b"], "left_anti")
+        if not new.isEmpty():
+            fresh = verify(new, nodes, rows, similarity)
             checked = durable(checked.union(fresh))
             if not fresh.filter("linked").isEmpty():
                 labels = components(checked.filter("linked").select("a", "b"))

@@ -152,7 +152,7 @@ by_host AS (
   FROM parts JOIN hosts ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY line
 ), by_pattern AS (
-  SELECT line, max_by(rule, CAST(length(rule) AS VARCHAR) || rule) AS rule, 'block' AS verdict
+  SELECT line, max_by(rule, lpad(CAST(length(rule) AS VARCHAR), 9, '0') || rule) AS rule, 'block' AS verdict
   FROM parts JOIN patterns ON regexp_matches(host || path, pattern) GROUP BY line
 )
 SELECT page_id, host, path, h.rule, coalesce(h.verdict, p.verdict, 'allow') AS verdict,
