@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, check_levels, feature_pipeline, vector_names
+from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, feature_pipeline, slot_names
 from latewatch.operators import metrics
 from latewatch.operators.split import hash_split, with_folds
 from latewatch.session import cached, ensure_checkpoint_dir
@@ -107,7 +107,7 @@ def compare(
 
     One model after the other, each a series of Spark jobs over the same held training rows.
     """
-    outcome = Comparison(features, slots=vector_names(train))
+    outcome = Comparison(features, slots=slot_names(features))
     for name, estimator in estimators.items():
         start = time.perf_counter()
         model = estimator.fit(train)
@@ -179,7 +179,6 @@ def _compare_task(prepared, features, estimators, evaluate, extra) -> Comparison
     used = ["busbreakdown_id", *features.categorical, *features.numeric, features.label, *extra]
     columns = ["busbreakdown_id", "features", features.label, *extra]
     with cached(prepared.select(*dict.fromkeys(used))) as (rows,):
-        check_levels(rows, features.categorical)
         train, test = hash_split(rows)
         fitted = feature_pipeline(features).fit(train)
         with cached(fitted.transform(train).select(*columns), fitted.transform(test).select(*columns)) as (tr, te):
@@ -200,6 +199,7 @@ def importances(outcome: Comparison, name: str, top: int | None = 12) -> DataFra
 
 
 def results_frame(outcome: Comparison) -> DataFrame:
-    """Metrics as rows, one per model."""
+    """Metrics as rows, one per model; not the seconds, which differ from run to run."""
     spark = next(iter(outcome.predictions.values())).sparkSession
-    return spark.createDataFrame([{k: (v if k == "model" else float(v)) for k, v in r.items()} for r in outcome.results])
+    kept = [{k: (v if k == "model" else float(v)) for k, v in r.items() if k != "train_seconds"} for r in outcome.results]
+    return spark.createDataFrame(kept)

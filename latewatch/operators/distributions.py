@@ -29,25 +29,34 @@ def histogram(
 ) -> DataFrame:
     """Rows per equal-width bin over the given or the found range: (bin, low_edge, high_edge, n).
 
-    The range is one row read ahead of the counting pass; the counting shuffles one row per bin
-    and task.
+    Every bin is there, empty ones with 0 (a range without width is one bin, no value at all no
+    bin). Values outside a given range, on either side, are not counted. The range is one row read
+    ahead of the counting pass; the counting shuffles one row per bin and task.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    number = F.col(column).cast("double")
+    values = df.select(number.alias("value")).filter(number.isNotNull() & ~F.isnan(number))
     if low is None or high is None:
-        placed = values.withColumn("_range", value_range(df, column).scalar())
+        span = value_range(values, "value")
     else:
-        placed = values.withColumn("_range", F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high")))
+        span = df.sparkSession.range(1).select(F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high")).alias("range"))
     start, end = F.col("_range.low"), F.col("_range.high")
+    counted = (
+        values.withColumn("_range", span.scalar())
+        .filter(F.col("value").between(start, end))
+        .groupBy(bin_number(F.col("value"), start, end, bins).alias("bin"))
+        .agg(F.count("*").alias("n"))
+    )
+    last = F.when(start < end, F.lit(bins)).when(start == end, F.lit(1))
+    listed = span.select(F.col("range").alias("_range")).select("_range", F.explode(F.sequence(F.lit(1), last)).alias("bin"))
     step = (end - start) / bins
-    number = bin_number(F.col("value"), start, end, bins)
+    # At most ``bins`` rows on either side.
     return (
-        placed.groupBy(number.alias("bin"))
-        .agg(F.count("*").alias("n"), F.first(start).alias("_start"), F.first(step).alias("_step"))
+        listed.join(F.broadcast(counted), "bin", "left")
         .select(
             "bin",
-            (F.col("_start") + (F.col("bin") - 1) * F.col("_step")).alias("low_edge"),
-            (F.col("_start") + F.col("bin") * F.col("_step")).alias("high_edge"),
-            "n",
+            (start + (F.col("bin") - 1) * step).alias("low_edge"),
+            (start + F.col("bin") * step).alias("high_edge"),
+            F.coalesce("n", F.lit(0)).alias("n"),
         )
         .orderBy("bin")
     )
@@ -67,29 +76,29 @@ def centre_marks(df: DataFrame, column: str) -> DataFrame:
 def density(df: DataFrame, column: str, points: int = 200, bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density at ``points`` equally spaced places over the data's range.
 
-    Bandwidth by Scott's rule unless given. The kernel sum runs over distinct values weighted by
-    their counts; every value meets the fixed grid inside its own task and is summed there first.
+    Bandwidth by Scott's rule unless given; without a spread (a constant column, a single row) there is no density: it is
+    NULL at every place. The kernel sum runs over distinct values weighted by their counts; every value meets the fixed
+    grid inside its own task and is summed there first.
     """
     counts = durable(value_counts(df, [column]))
-    # One row: everything the grid and the kernel width need.
-    number = F.sum("n")
-    mean = F.sum(F.col("value") * F.col("n")) / number
-    square = F.sum(F.col("value") * F.col("value") * F.col("n"))
-    facts = counts.agg(
-        number.alias("n"), mean.alias("mean"), square.alias("square"), F.min("value").alias("low"), F.max("value").alias("high")
+    # One row: everything the grid and the kernel width need. Squares are of deviations from the mean.
+    mean = counts.agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    away = F.col("value") - F.col("_mean")
+    facts = counts.withColumn("_mean", mean.scalar()).agg(
+        F.sum("n").alias("n"), F.sum(away * away * F.col("n")).alias("square"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    spread = F.sqrt(F.try_divide(F.col("square") - F.col("n") * F.col("mean") * F.col("mean"), F.col("n") - 1))
+    spread = F.sqrt(F.try_divide(F.col("square"), F.col("n") - 1))
     width = F.lit(float(bandwidth)) if bandwidth else spread * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     frame = facts.select(F.struct("n", "low", "high", width.alias("width")).alias("frame"))
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     spaced = counts.select("value", F.col("n").alias("weight"), frame.scalar().alias("_f"), grid)
     place = F.col("_f.low") + (F.col("_f.high") - F.col("_f.low")) * F.col("point") / F.lit(points - 1)
-    z = (place - F.col("value")) / F.col("_f.width")
+    z = F.try_divide(place - F.col("value"), F.col("_f.width"))
     kernel = F.col("weight") * F.exp(z * z * -0.5)
     scale = F.first(F.col("_f.n") * F.col("_f.width")) * F.sqrt(2 * F.pi())
     return (
         spaced.groupBy("point")
-        .agg(F.first(place).alias("x"), (F.sum(kernel) / scale).alias("density"))
+        .agg(F.first(place).alias("x"), F.try_divide(F.sum(kernel), scale).alias("density"))
         .orderBy("point")
     )
 

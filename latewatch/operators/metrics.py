@@ -42,14 +42,19 @@ def score_by_history(
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence[int] = (0, 1)) -> DataFrame:
-    """Rows per label and predicted class, 0 where there are none: (label, predicted_0, predicted_1)."""
+    """Rows per label and predicted class, 0 where there are none: (label, predicted_0, predicted_1).
+
+    Every class is a row, also one that no row has; so is any other label of the data.
+    """
+    kind = df.schema[label].dataType
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias("label"))
     table = (
         df.groupBy(F.col(label).alias("label"))
         .pivot(prediction, [float(c) for c in classes])
         .count()
-        .na.fill(0)
+        .withColumnsRenamed({str(float(c)): f"predicted_{c}" for c in classes})
     )
-    return table.withColumnsRenamed({str(float(c)): f"predicted_{c}" for c in classes}).orderBy("label")
+    return listed.join(table, "label", "full").na.fill(0, [f"predicted_{c}" for c in classes]).orderBy("label")
 
 
 def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -88,27 +88,44 @@ def orphans(fact: DataFrame, parent: DataFrame, column: str, target: str | None
     return join_dimension(fact.filter(F.col(column).isNotNull()), keys, column, how="left_anti")
 
 
+def _comparable(fact: DataFrame, column: str, parent: DataFrame, target: str) -> tuple[Column, Column]:
+    """Both keys as texts that are equal exactly if the keys are equal as ``=`` compares them: cast to their common type first."""
+    common = fact.select(F.col(column)).limit(0).union(parent.select(F.col(target)).limit(0)).schema[0].dataType
+
+    def text(name: str) -> Column:
+        value = F.col(name).cast(common)
+        if common.typeName() in ("float", "double"):
+            value = value + F.lit(0.0)  # no negative zero
+        return value.cast("string")
+
+    return text(column), text(target)
+
+
 def orphan_counts(fact: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Number of orphans per foreign key; ``parents`` maps the key column to (table, target column).
+    """Number of orphans of every foreign key, 0 included; ``parents`` maps the key column to (table, target column).
 
     The fact rows are counted per key value first, in one pass for all keys, so that only distinct
     values are shuffled and met with the parent keys: no hot key, nothing to broadcast.
     """
+    texts = {column: _comparable(fact, column, *parent) for column, parent in parents.items()}
     used = (
-        fact.select(*[F.col(column).cast("string").alias(column) for column in parents])
+        fact.select(*[ours.alias(column) for column, (ours, _) in texts.items()])
         .unpivot([], list(parents), "foreign_key", "key_value")
         .filter(F.col("key_value").isNotNull())
         .groupBy("foreign_key", "key_value")
         .agg(F.count("*").alias("n"))
     )
     known = None
-    for column, (parent, target) in parents.items():
-        keys = parent.select(
-            F.lit(column).alias("foreign_key"), F.col(target).cast("string").alias("key_value"), F.lit(1).alias("known")
-        )
+    for column, (parent, _) in parents.items():
+        keys = parent.select(F.lit(column).alias("foreign_key"), texts[column][1].alias("key_value"), F.lit(1).alias("known"))
         known = keys if known is None else known.unionByName(keys)
-    return (
+    counted = (
         used.join(known.distinct(), ["foreign_key", "key_value"], "left")
         .groupBy("foreign_key")
         .agg(F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("n_orphans"))
     )
+    # One row per foreign key on either side.
+    listed = fact.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in parents])).alias("foreign_key"))
+    return listed.join(F.broadcast(counted), "foreign_key", "left").select(
+        "foreign_key", F.coalesce("n_orphans", F.lit(0)).alias("n_orphans")
+    )

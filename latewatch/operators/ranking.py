@@ -1,9 +1,9 @@
 """Ordered ids, running totals and exact quantiles without an unbounded one-task window.
 
-A window without partition key moves every row to one task. That is used here only for row counts
-that were measured first. Beyond, rows are put into ordered buckets whose borders come from a hash
-sample of the keys, each bucket is handled by its own task, and the totals of the buckets (at most
-``BUCKETS + 1`` rows per group) are carried over to the later ones.
+A window without partition key moves every row to one task. Here the rows are range-partitioned by their key, as many
+ways as the session shuffles, and stored with the number of their partition. Totals per partition and group are a
+small table; running sums over it say what comes before each partition, and every partition is then summed by itself.
+It is one form for all sizes.
 """
 
 from __future__ import annotations
@@ -16,98 +16,61 @@ from pyspark.sql import window as W
 
 from latewatch.session import durable
 
-BUCKETS = 64
-SMALL_ROWS = 200_000
-_OVERSAMPLE = 16
 
-
-def order_buckets(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``_bucket``: rows with a smaller key never have a larger bucket.
-
-    The borders depend on the keys alone, so that every evaluation gives the same buckets.
-    NULL keys share the first bucket. Meant for rows with distinct keys, in stored form.
-    """
-    sample = (
-        df.select(F.struct(F.col(key).alias("k")).alias("s"))
-        .filter("s.k is not null")
-        .orderBy(F.xxhash64("s"), "s")
-        .limit(buckets * _OVERSAMPLE)
-        .agg(F.sort_array(F.collect_list("s")).alias("cuts"))
-        .select(F.filter("cuts", lambda _, i: i % _OVERSAMPLE == _OVERSAMPLE - 1))
-    )
-    with_cuts = df.withColumn("_key", F.struct(F.col(key).alias("k"))).withColumn("_cuts", sample.scalar())
-    place = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
-    # Never NULL, so that no null check on it is pushed into the scan.
-    bucket = F.when(F.col("_key.k").isNull(), 0).otherwise(F.coalesce(place, F.lit(0)))
-    return with_cuts.withColumn("_bucket", bucket).drop("_cuts", "_key")
+def ordered_parts(df: DataFrame, *order: str) -> DataFrame:
+    """Stored rows with ``_part``: rows with a smaller key never have a larger part, NULLs come first."""
+    return durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
 
 def running_totals(
-    df: DataFrame,
-    order: str,
-    measures: Sequence[str],
-    descending: bool = False,
-    within: Sequence[str] = (),
-    buckets: int = BUCKETS,
-    small: int = SMALL_ROWS,
+    df: DataFrame, order: str, measures: Sequence[str], descending: bool = False, within: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``cum_<m>`` (running) and ``all_<m>`` (overall) sums of each measure, per ``within``.
 
     Rows must be distinct on ``within`` and ``order``. ``within`` stands for a few non-NULL groups
-    (such as column names). The rows are kept in the checkpoint folder, as they are read several
-    times; their number decides between one window and the bucketed form.
+    (such as column names).
     """
-    rows = durable(df)
-    by_key = F.desc(order) if descending else F.asc(order)
-    if rows.count() <= small:
-        upto = W.Window.partitionBy(*within).orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
-        overall = W.Window.partitionBy(*within)
-        return rows.select(
-            "*",
-            *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
-            *[F.sum(m).over(overall).alias(f"all_{m}") for m in measures],
-        )
-    bucketed = order_buckets(rows, order, buckets)
-    totals = bucketed.groupBy(*within, "_bucket").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
-    by_bucket = F.desc("_bucket") if descending else F.asc("_bucket")
-    before = W.Window.partitionBy(*within).orderBy(by_bucket).rowsBetween(W.Window.unboundedPreceding, -1)
+    placed = ordered_parts(df, *within, order)
+    totals = placed.groupBy(*within, "_part").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
+    by_part = F.desc("_part") if descending else F.asc("_part")
+    before = W.Window.partitionBy(*within).orderBy(by_part).rowsBetween(W.Window.unboundedPreceding, -1)
     overall = W.Window.partitionBy(*within)
     offsets = totals.select(
         *within,
-        "_bucket",
+        "_part",
         *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(f"_sum_{m}").over(overall).alias(f"all_{m}") for m in measures],
     )
-    # At most BUCKETS + 1 rows per group.
-    joined = bucketed.join(F.broadcast(offsets), [*within, "_bucket"])
-    upto = W.Window.partitionBy(*within, "_bucket").orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
+    # At most one row per partition, and one more per group.
+    joined = placed.join(F.broadcast(offsets), [*within, "_part"])
+    by_key = F.desc(order) if descending else F.asc(order)
+    upto = W.Window.partitionBy(*within, "_part").orderBy(by_key).rowsBetween(W.Window.unboundedPreceding, 0)
     running = [(F.sum(m).over(upto) + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures]
     return joined.select(*df.columns, *running, *[f"all_{m}" for m in measures])
 
 
-def dense_ids(
-    keys: DataFrame, columns: Sequence[str], name: str, within: Sequence[str] = (), small: int = SMALL_ROWS
-) -> DataFrame:
+def dense_ids(keys: DataFrame, columns: Sequence[str], name: str, within: Sequence[str] = ()) -> DataFrame:
     """Number distinct keys 1..n in key order, NULLs first (per ``within`` group)."""
     # A struct compares field by field with NULLs first and is never NULL itself.
     ordered = keys.select(
         *within, *columns, F.struct(*columns).alias("_order"), F.lit(1).cast("bigint").alias("one")
     )
-    ranked = running_totals(ordered, "_order", ["one"], within=within, small=small)
+    ranked = running_totals(ordered, "_order", ["one"], within=within)
     return ranked.select(*within, *columns, F.col("cum_one").alias(name))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Occurrences of every non-NULL value of several numeric columns in one pass."""
+    """Occurrences of every value of several numeric columns in one pass. NaN counts as missing, like NULL."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "value"
     )
-    return long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    known = F.col("value").isNotNull() & ~F.isnan("value")
+    return long.filter(known).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
-def ranked_values(df: DataFrame, columns: Sequence[str], small: int = SMALL_ROWS) -> DataFrame:
+def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Value counts with their running and overall number per column: the basis of exact quantiles."""
-    return running_totals(value_counts(df, columns), "value", ["n"], within=["column_name"], small=small)
+    return running_totals(value_counts(df, columns), "value", ["n"], within=["column_name"])
 
 
 def quantiles_of(ranked: DataFrame, probabilities: Sequence[float], interpolate: bool = False) -> DataFrame:

@@ -50,8 +50,3 @@ def hash_sample(
 def with_folds(df: DataFrame, folds: int = 3, keys: Sequence[str] = ("busbreakdown_id",), seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..folds-1 for cross-validation."""
     return df.withColumn("fold", F.floor(split_share(df, keys, seed) * folds).cast("int"))
-
-
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Spark's own row sample; repeatable only while the partitioning is."""
-    return df.sample(fraction=fraction, seed=seed)

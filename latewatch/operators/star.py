@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latewatch import functions as fn
-from latewatch.operators.joins import fits_broadcast, join_dimension
+from latewatch.operators.joins import affordable, join_dimension
 from latewatch.operators.ranking import dense_ids
 from latewatch.schema import CALENDAR_KEY, DIMENSION_IDS, FACT_INCIDENT, FEATURE_COLUMNS
 from latewatch.session import durable
@@ -55,9 +55,8 @@ def date_dimension(features: DataFrame) -> DataFrame:
 
 def attach_ids(features: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Left-join the surrogate id of every dimension by plain equality: a NULL key has no id."""
-    together = fits_broadcast(*dimensions.values()) or None
-    for key, dimension in dimensions.items():
-        features = join_dimension(features, dimension.filter(F.col(key).isNotNull()), key, fits=together)
+    for (key, dimension), fits in zip(dimensions.items(), affordable(*dimensions.values())):
+        features = join_dimension(features, dimension.filter(F.col(key).isNotNull()), key, fits=fits)
     return features
 
 

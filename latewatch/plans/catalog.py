@@ -348,24 +348,22 @@ def _(spark, sf_dir):
     sql.over(
         sql.STAR,
         """SELECT 'operator_id' AS foreign_key, count(*) AS n_orphans FROM fact
-             WHERE operator_id IS NOT NULL
-               AND operator_id NOT IN (SELECT operator_id FROM dim_operator WHERE operator <> 'UNKNOWN')
+             WHERE operator_id IS NOT NULL AND operator_id NOT IN (SELECT operator_id FROM dim_operator)
            UNION ALL SELECT 'reason_id', count(*) FROM fact
              WHERE reason_id IS NOT NULL AND reason_id NOT IN (SELECT reason_id FROM dim_reason)
            UNION ALL SELECT 'boro_id', count(*) FROM fact
-             WHERE boro_id IS NOT NULL
-               AND boro_id NOT IN (SELECT boro_id FROM dim_boro WHERE boro IS NOT NULL)
+             WHERE boro_id IS NOT NULL AND boro_id NOT IN (SELECT boro_id FROM dim_boro)
            UNION ALL SELECT 'date_key', count(*) FROM fact
-             WHERE date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM dim_date WHERE year >= 2016)""",
+             WHERE date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM dim_date WHERE date_key IS NOT NULL)""",
     ),
 )
 def _(spark, sf_dir):
     rows, dimensions = star_tables(spark, sf_dir)
     parents = {
-        "operator_id": (dimensions["operator"].filter("operator <> 'UNKNOWN'"), "operator_id"),
+        "operator_id": (dimensions["operator"], "operator_id"),
         "reason_id": (dimensions["reason"], "reason_id"),
-        "boro_id": (quality.split_required(dimensions["boro"], ["boro"])[0], "boro_id"),
-        "date_key": (star.date_dimension(incidents(spark, sf_dir)).filter("year >= 2016"), "date_key"),
+        "boro_id": (dimensions["boro"], "boro_id"),
+        "date_key": (star.date_dimension(incidents(spark, sf_dir)), "date_key"),
     }
     return quality.orphan_counts(star.fact_table(rows), parents)
 
@@ -373,9 +371,9 @@ def _(spark, sf_dir):
 @register(
     "fk_orphan_lines",
     """SELECT 'l_orderkey' AS foreign_key, count(*) AS n_orphans FROM lineitem
-         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
        UNION ALL SELECT 'l_partkey', count(*) FROM lineitem
-         WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)
+         WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
        UNION ALL SELECT 'l_suppkey', count(*) FROM lineitem
          WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)""",
 )
@@ -383,8 +381,8 @@ def _(spark, sf_dir):
     return quality.orphan_counts(
         table(spark, sf_dir, "lineitem"),
         {
-            "l_orderkey": (table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'"), "o_orderkey"),
-            "l_partkey": (table(spark, sf_dir, "part").filter("p_size <= 25"), "p_partkey"),
+            "l_orderkey": (table(spark, sf_dir, "orders"), "o_orderkey"),
+            "l_partkey": (table(spark, sf_dir, "part"), "p_partkey"),
             "l_suppkey": (table(spark, sf_dir, "supplier"), "s_suppkey"),
         },
     )
@@ -393,12 +391,11 @@ def _(spark, sf_dir):
 @register(
     "fk_orphan_rows",
     """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-       WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)""",
+       WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)""",
 )
 def _(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    parts = table(spark, sf_dir, "part").filter("p_size <= 45")
-    return quality.orphans(lines, parts, "l_partkey", "p_partkey")
+    return quality.orphans(lines, table(spark, sf_dir, "part"), "l_partkey", "p_partkey")
 
 
 # ---------------------------------------------------------------- star schema
@@ -736,12 +733,14 @@ _report(
 
 def _histogram_sql(source: str, column: str, bins: int) -> str:
     return f"""
-        SELECT CAST(b AS INT) AS bin, round(lo + (b - 1) * (hi - lo) / {bins}, 9) AS low_edge,
-               round(lo + b * (hi - lo) / {bins}, 9) AS high_edge, count(*) AS n
-        FROM (SELECT least(floor((x - lo) / ((hi - lo) / {bins})) + 1, {bins}) AS b, lo, hi
-              FROM (SELECT CAST({column} AS DOUBLE) AS x FROM {source} WHERE {column} IS NOT NULL),
-                   (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM {source}))
-        GROUP BY b, lo, hi"""
+        SELECT CAST(k AS INT) AS bin, round(lo + (k - 1) * (hi - lo) / {bins}, 9) AS low_edge,
+               round(lo + k * (hi - lo) / {bins}, 9) AS high_edge, count(b) AS n
+        FROM (SELECT unnest(range(1, {bins} + 1)) AS k)
+        CROSS JOIN (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM {source})
+        LEFT JOIN (SELECT least(floor((x - lo) / ((hi - lo) / {bins})) + 1, {bins}) AS b
+                   FROM (SELECT CAST({column} AS DOUBLE) AS x FROM {source} WHERE {column} IS NOT NULL),
+                        (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM {source})) ON b = k
+        GROUP BY k, lo, hi"""
 
 
 def _histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -864,9 +863,9 @@ _report(
 )
 _report(
     "topn_bucket",
-    lambda df: buckets.bucket_rare(df.select("busbreakdown_id", "operator"), "operator", top=12),
+    lambda df: buckets.bucket_rare(df.select("busbreakdown_id", "operator"), "operator", top=ml_features.KEPT_OPERATORS),
     """SELECT busbreakdown_id, operator, CASE WHEN operator IN (
-         SELECT operator FROM clean GROUP BY 1 ORDER BY count(*) DESC, operator NULLS FIRST LIMIT 12)
+         SELECT operator FROM clean GROUP BY 1 ORDER BY count(*) DESC, operator NULLS FIRST LIMIT 25)
        THEN operator ELSE 'OTHER' END AS operator_bucketed FROM clean""",
 )
 _report(
@@ -1071,27 +1070,30 @@ def _(spark, sf_dir):
 # ---------------------------------------------------------------- machine learning
 
 
-@register(
-    "indexed",
-    sql.over(
-        sql.CLEAN,
-        """, ranks AS (SELECT run_type, row_number() OVER (ORDER BY count(*) DESC, run_type) - 1 AS place
-                       FROM clean WHERE run_type IS NOT NULL GROUP BY 1),
-        areas AS (SELECT boro, row_number() OVER (ORDER BY count(*) DESC, boro) - 1 AS place
-                  FROM clean WHERE boro IS NOT NULL GROUP BY 1)
-        SELECT busbreakdown_id, clean.run_type, clean.boro,
-               coalesce(r.place, (SELECT count(*) FROM ranks))::DOUBLE AS run_type_idx,
-               coalesce(a.place, (SELECT count(*) FROM areas))::DOUBLE AS boro_idx
-        FROM clean LEFT JOIN ranks r ON r.run_type = clean.run_type LEFT JOIN areas a ON a.boro = clean.boro""",
-    ),
-)
-def _(spark, sf_dir):
-    from pyspark.ml.feature import StringIndexer
+_INDEXED = ml_features.DELAY_MINUTES.categorical
 
-    rows = incidents(spark, sf_dir).select("busbreakdown_id", "run_type", "boro")
-    ml_features.check_levels(rows, ["run_type", "boro"])
-    indexer = StringIndexer(inputCols=["run_type", "boro"], outputCols=["run_type_idx", "boro_idx"], handleInvalid="keep")
-    return indexer.fit(rows).transform(rows)
+
+def _indexed_sql() -> str:
+    ranks = ", ".join(
+        f"""rank_{c} AS (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS place
+                         FROM bucketed WHERE {c} IS NOT NULL GROUP BY 1)"""
+        for c in _INDEXED
+    )
+    places = ", ".join(f"coalesce(rank_{c}.place, (SELECT count(*) FROM rank_{c}))::DOUBLE AS {c}_idx" for c in _INDEXED)
+    joins = " ".join(f"LEFT JOIN rank_{c} ON rank_{c}.{c} = bucketed.{c}" for c in _INDEXED)
+    return f""", bucketed AS (
+        SELECT *, CASE WHEN operator IN (
+          SELECT operator FROM clean GROUP BY 1 ORDER BY count(*) DESC, operator NULLS FIRST LIMIT {ml_features.KEPT_OPERATORS})
+          THEN operator ELSE 'OTHER' END AS operator_bucketed FROM clean), {ranks}
+        SELECT busbreakdown_id, {places} FROM bucketed {joins}"""
+
+
+@register("indexed", sql.over(sql.CLEAN, _indexed_sql()))
+def _(spark, sf_dir):
+    rows = incidents(spark, sf_dir).select("busbreakdown_id", "operator", *[c for c in _INDEXED if c != "operator_bucketed"])
+    bucketed = buckets.bucket_rare(rows, "operator", ml_features.KEPT_OPERATORS)
+    found = ml_features.with_level_index(bucketed, ml_features.level_table(bucketed, _INDEXED), _INDEXED)
+    return found.select("busbreakdown_id", *[f"{c}_idx" for c in _INDEXED])
 
 
 def _small_classifiers():

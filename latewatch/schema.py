@@ -59,7 +59,7 @@ FEATURE_DDL = """
 FEATURE_SCHEMA = struct_of(FEATURE_DDL)
 FEATURE_COLUMNS = tuple(FEATURE_SCHEMA.fieldNames())
 
-# Surrogate key column of each single-column dimension.
+# Surrogate key column of each single-column dimension, and what identifies a calendar row.
 DIMENSION_IDS = {"operator": "operator_id", "reason": "reason_id", "boro": "boro_id"}
 CALENDAR_KEY = ("year", "month", "day_of_week", "season", "is_weekend", "school_year")
 
@@ -98,6 +98,7 @@ class Table:
         return f"CREATE TABLE {self.name} (\n{body}\n);"
 
 
+# Names, columns and keys of the relational tables.
 DIM_OPERATOR = Table("dim_operator", "operator_id bigint, operator string", ("operator_id",), ("operator",))
 DIM_REASON = Table("dim_reason", "reason_id bigint, reason string", ("reason_id",))
 DIM_BORO = Table("dim_boro", "boro_id bigint, boro string", ("boro_id",), ("boro",))

@@ -64,15 +64,36 @@ def test_weights_of_a_missing_class_are_missing(spark):
     assert row.w_pos is None and row.w_neg == 0.5
 
 
+def test_confusion_matrix_has_a_row_for_every_class(spark):
+    df = spark.createDataFrame([(0, 0.0), (0, 1.0), (0, 0.0)], "label int, prediction double")
+    assert [tuple(r) for r in metrics.confusion_matrix(df, "label", "prediction").collect()] == [(0, 2, 1), (1, 0, 0)]
+
+
 def test_rare_values_become_other(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [("c",), (None,)], "operator string")
     got = {r.operator: r.operator_bucketed for r in buckets.bucket_rare(df, top=2).collect()}
     assert got == {"a": "a", "b": "b", "c": "OTHER", None: "OTHER"}
 
 
-def test_too_many_levels_are_refused(spark):
-    with pytest.raises(ValueError, match="too many levels"):
-        ml_features.check_levels(spark.range(500).select(F.col("id").cast("string").alias("c")), ["c"], most=100)
+def test_any_number_of_levels_is_indexed(spark):
+    rows = spark.range(100_000).select((F.col("id") % 50_000).cast("string").alias("c"), F.lit("x").alias("d"))
+    rows = rows.unionByName(spark.createDataFrame([("7", None), (None, "x")], "c string, d string"))
+    levels = ml_features.level_table(rows, ["c", "d"])
+    assert levels.filter("column_name = 'c'").count() == 50_000
+    found = ml_features.with_level_index(rows, levels, ["c", "d"])
+    by_value = {r.c: r.c_idx for r in found.select("c", "c_idx").distinct().collect()}
+    order = sorted((str(k) for k in range(50_000)), key=lambda v: (v != "7", v))
+    assert all(by_value[v] == k for k, v in enumerate(order)) and by_value[None] == 50_000
+    assert {(r.d, r.d_idx) for r in found.select("d", "d_idx").distinct().collect()} == {("x", 0.0), (None, 1.0)}
+
+
+def test_slots_are_named_after_levels_and_columns(spark):
+    rows = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 2.0), ("a", "y", 3.0)], "p string, q string, n double")
+    features = ml_features.FeatureSet(("p", "q"), ("n",), "n", False)
+    fitted = ml_features.feature_pipeline(features).fit(rows)
+    names = ml_features.slot_names(fitted)
+    assert names == ["p_oh_a", "p_oh_b", "q_oh_x", "q_oh_y", "n"]
+    assert {len(r.features) for r in fitted.transform(rows).collect()} == {5}
 
 
 def test_classification_job(spark, incidents, tmp_path):

@@ -6,25 +6,23 @@ from pyspark.sql import functions as F
 from latewatch.operators import distributions, joins, profile, quality, ranking, split
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_dense_ids_equal_a_sort(spark, small):
+def test_dense_ids_equal_a_sort(spark):
     rng = random.Random(1)
     keys = {(rng.choice([None, *"abcde"]), rng.randrange(400)) for _ in range(3000)}
     df = spark.createDataFrame(list(keys), "a string, b int").repartition(7)
-    got = {(r.a, r.b): r.id for r in ranking.dense_ids(df, ["a", "b"], "id", small=small).collect()}
+    got = {(r.a, r.b): r.id for r in ranking.dense_ids(df, ["a", "b"], "id").collect()}
     order = sorted(keys, key=lambda k: (k[0] is not None, k[0] or "", k[1]))
     assert got == {k: i for i, k in enumerate(order, 1)}
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_equal_a_loop(spark, small, descending):
+def test_running_totals_equal_a_loop(spark, descending):
     rng = random.Random(2)
     rows = [(g, v, rng.randrange(5)) for g in "xy" for v in rng.sample(range(10000), 1500)]
     df = spark.createDataFrame(rows, "g string, v int, n int")
     got = {
         (r.g, r.v): (r.cum_n, r.all_n)
-        for r in ranking.running_totals(df, "v", ["n"], descending, within=["g"], small=small).collect()
+        for r in ranking.running_totals(df, "v", ["n"], descending, within=["g"]).collect()
     }
     for g in "xy":
         part = sorted([r for r in rows if r[0] == g], key=lambda r: r[1], reverse=descending)
@@ -34,14 +32,13 @@ def test_running_totals_equal_a_loop(spark, small, descending):
             assert got[g, v] == (total, overall)
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_quantiles_equal_positions_in_the_sorted_list(spark, small):
+def test_quantiles_equal_positions_in_the_sorted_list(spark):
     rng = random.Random(3)
     # One value holds more than a third of all rows.
     values = [7.5] * 900 + [round(rng.gauss(0, 50), 2) for _ in range(1500)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
     ordered, n = sorted(values), len(values)
-    ranked = ranking.ranked_values(df, ["x"], small=small)
+    ranked = ranking.ranked_values(df, ["x"])
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
     expected = [ordered[max(-(-int(n * p * 1000) // 1000) - 1, 0)] for p in probabilities]
     assert list(ranking.quantiles_of(ranked, probabilities).first())[2:] == expected
@@ -74,6 +71,26 @@ def test_salted_join_equals_broadcast_join(spark, how):
     assert both[0] == both[1]
 
 
+def test_rows_that_are_nothing_but_a_hot_key_are_spread(spark):
+    fact = spark.createDataFrame([(1,)] * 5000 + [(None,)] * 500 + [(k,) for k in range(100)], "k long").repartition(4)
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(32)).cast("int")
+    found = joins.salted(fact, ["k"], spread, F.lit(0), joins.hot_keys(fact, ["k"]))
+    salts = {r.k: r.salts for r in found.groupBy("k").agg(F.countDistinct("_salt").alias("salts")).collect()}
+    assert salts[1] == 32 and salts[None] > 8 and salts[50] == 1
+
+
+def test_shuffled_join_takes_any_column(spark):
+    fact = spark.createDataFrame([(1, {"a": 1}), (2, {})], "k long, m map<string,int>")
+    side = spark.createDataFrame([(1, "x")], "k long, name string")
+    assert {(r.k, r.name) for r in joins.join_dimension(fact, side, "k", fits=False).collect()} == {(1, "x"), (2, None)}
+
+
+def test_broadcasts_share_one_budget(spark):
+    small, large = spark.range(10), spark.range(1000)
+    assert joins.affordable(large, small, rows=1005) == [False, True]
+    assert joins.affordable(large, small, rows=1010) == [True, True]
+
+
 def test_broadcast_needs_a_measured_size(spark):
     side = spark.range(1000)
     assert joins.fits_broadcast(side, rows=1000)
@@ -97,6 +114,23 @@ def test_orphans(spark):
     assert [tuple(r) for r in quality.orphan_counts(fact, {"fk": (parent, "pk")}).collect()] == [("fk", 1)]
 
 
+def test_orphans_are_counted_by_value_not_by_text(spark):
+    fact = spark.createDataFrame([(1.0, None, -0.0), (2.0, None, 0.0), (3.0, None, 7.0)], "a double, b int, c double")
+    parent = spark.createDataFrame([(1, 0.0), (2, 5.0)], "pk bigint, pc double")
+    amounts = fact.withColumn("d", F.col("a").cast("decimal(10,4)"))
+    cents = parent.withColumn("pd", F.col("pk").cast("decimal(6,2)"))
+    parents = {"a": (parent, "pk"), "b": (parent, "pk"), "c": (parent, "pc"), "d": (cents, "pd")}
+    got = {r.foreign_key: r.n_orphans for r in quality.orphan_counts(amounts, parents).collect()}
+    assert got == {"a": 1, "b": 0, "c": 1, "d": 1}
+
+
+def test_planted_orphans(spark):
+    fact = spark.range(100).select("id", (F.col("id") % 10).alias("k"))
+    parent = spark.range(7).withColumnRenamed("id", "pk")
+    assert quality.orphan_counts(fact, {"k": (parent, "pk")}).first().n_orphans == 30
+    assert quality.orphans(fact, parent, "k", "pk").count() == 30
+
+
 def test_splits_do_not_depend_on_partitioning(spark):
     df = spark.range(20000).withColumnRenamed("id", "busbreakdown_id")
     shuffled = df.orderBy(F.rand(5)).repartition(13)
@@ -119,6 +153,33 @@ def test_histogram_counts_every_value_once(spark):
     assert [r.n for r in distributions.histogram(constant, "x", 8).collect()] == [4]
 
 
+def test_histogram_has_every_bin_and_leaves_out_what_is_outside(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(-10, 31)] + [(float("nan"),)], "x double")
+    rows = distributions.histogram(df, "x", 4, low=0, high=20).collect()
+    assert [(r.bin, r.n) for r in rows] == [(1, 5), (2, 5), (3, 5), (4, 6)]
+    ends = spark.createDataFrame([(0.0,), (10.0,)], "x double")
+    assert [r.n for r in distributions.histogram(ends, "x", 5).collect()] == [1, 0, 0, 0, 1]
+    assert distributions.histogram(ends.limit(0), "x", 5).count() == 0
+
+
+def test_density_far_from_zero_and_without_spread(spark):
+    rng = random.Random(6)
+    values = [rng.gauss(0, 1) for _ in range(500)]
+    near, far = (
+        distributions.density(spark.createDataFrame([(v + shift,) for v in values], "x double"), "x").collect() for shift in (0, 1e9)
+    )
+    assert max(r.density for r in far) == pytest.approx(max(r.density for r in near), rel=1e-3)
+    for rows in ([(3.0,)] * 5, [(3.0,)]):
+        found = distributions.density(spark.createDataFrame(rows, "x double"), "x", points=5).collect()
+        assert [(r.x, r.density) for r in found] == [(3.0, None)] * 5
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "x double")
+    row = profile.outlier_fences(df, ["x"]).first()
+    assert (row.q3, row.n_outliers) == (2.0, 0)
+
+
 def test_density_integrates_to_about_one(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(rng.gauss(0, 1),) for _ in range(2000)], "x double")
