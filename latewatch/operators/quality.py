@@ -47,7 +47,7 @@ def quality_report(features: DataFrame, first_year: int = FIRST_YEAR, last_year:
     }
     kept = rules["incident_type"] & rules["record_id"] & rules["year"]
     counts = {
-        "all": F.count("*"),
+        "all": F.count(F.lit(1)),
         "kept": F.count_if(kept),
         "dropped": F.count_if(~F.coalesce(kept, F.lit(False))),
         **{name: F.count_if(~F.coalesce(check, F.lit(False))) for name, check in checks.items()},

@@ -17,7 +17,7 @@ from latewatch.operators.joins import join_dimension
 from latewatch.plans import oracle as sql
 from latewatch.plans import sql as texts
 from latewatch.schema import CALENDAR_KEY, DIMENSION_IDS, FACT_INCIDENT, FEATURE_COLUMNS
-from latewatch.session import spread
+from latewatch.session import durable, spread, staged
 from latewatch.sources.incidents import incident_records
 from latewatch.sources.readers import read_table, with_timestamp
 from latewatch.sources.writers import insert_statements
@@ -70,8 +70,9 @@ def zoneless(df: DataFrame, column: str = "occurred_ts") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    clean = incidents(spark, sf_dir)
+def star_tables(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Analysis rows and dimensions. The records are parsed once, into a stored table that both come from."""
+    clean = staged(incidents(spark, sf_dir)) if clean is None else clean
     dimensions = star.build_dimensions(clean)
     return star.feature_table(clean, dimensions), dimensions
 
@@ -82,9 +83,9 @@ def star_views(spark: SparkSession, sf_dir: str, *keys: str) -> dict[str, DataFr
     return texts.star_frames(star.fact_table(rows), **named)
 
 
-def scored_rows(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+def scored_rows(spark: SparkSession, sf_dir: str, *keys: str, clean: DataFrame | None = None) -> DataFrame:
     """Test rows with historical breakdown risk (``score``) and delay (``expected``)."""
-    train, test = split.hash_split(incidents(spark, sf_dir))
+    train, test = split.hash_split(incidents(spark, sf_dir) if clean is None else clean)
     return metrics.score_by_history(
         train, test, keys or RISK_KEYS, {"score": "is_breakdown", "expected": "delay_minutes"}
     )
@@ -358,12 +359,13 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    rows, dimensions = star_tables(spark, sf_dir)
+    clean = staged(incidents(spark, sf_dir))
+    rows, dimensions = star_tables(spark, sf_dir, clean)
     parents = {
         "operator_id": (dimensions["operator"], "operator_id"),
         "reason_id": (dimensions["reason"], "reason_id"),
         "boro_id": (dimensions["boro"], "boro_id"),
-        "date_key": (star.date_dimension(incidents(spark, sf_dir)), "date_key"),
+        "date_key": (star.date_dimension(clean), "date_key"),
     }
     return quality.orphan_counts(star.fact_table(rows), parents)
 
@@ -1054,14 +1056,16 @@ def _grain_sql(name: str, keys: tuple[str, ...]) -> str:
     ),
 )
 def _(spark, sf_dir):
-    results = None
+    used = ["busbreakdown_id", "operator", "time_band", "is_breakdown", "delay_minutes"]
+    clean, results = staged(incidents(spark, sf_dir).select(*used)), None
     for name, keys in _GRAINS.items():
-        rows = scored_rows(spark, sf_dir, *keys).filter(F.col("delay_minutes").isNotNull())
+        rows = scored_rows(spark, sf_dir, *keys, clean=clean).filter(F.col("delay_minutes").isNotNull())
         row = rows.agg(
             F.sqrt(F.avg(F.pow(F.col("delay_minutes") - F.col("expected"), F.lit(2.0)))).alias("rmse"),
             F.count_distinct(*keys).cast("double").alias("n_groups"),
         ).select(F.lit(name).alias("model"), "rmse", "n_groups")
         results = row if results is None else results.unionByName(row)
+    results = durable(results)  # three rows, read for the best one and for the ranking
     best = metrics.best_model(results, "rmse", larger_is_better=False).select("model").scalar()
     ranked = metrics.rank_models(results, "rmse", "n_groups", larger_is_better=False)
     return rounded(ranked.withColumn("is_best", F.col("model") == best), 9, "rmse", "quality_per_cost")

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from latewatch import functions as fn
 from latewatch.ml import features as ml_features
 from latewatch.ml import models as ml_models
-from latewatch.operators import profile, quality, ranking, split, star
+from latewatch.operators import metrics, profile, quality, ranking, split, star
 from latewatch.operators.features import derive_features
 from latewatch.plans import sql
 from latewatch.schema import DIMENSION_TABLES, FACT_INCIDENT, TABLES
-from latewatch.session import durable
+from latewatch.session import durable, staged
 from latewatch.sources import writers
 from latewatch.sources.readers import read_table
 
@@ -25,10 +25,10 @@ from latewatch.sources.readers import read_table
 def ingest(raw: DataFrame, out: str, partition_by: Sequence[str] = (), sample_rows: int = 2000) -> dict[str, int]:
     """Raw records to analysis table and dimensions under ``out``.
 
-    Three scans of the raw records: the rejection counts, the distinct dimension keys (both read only
-    the columns they need), and the write with the ids joined by broadcast. Returns the row counts.
+    The raw records are read once, into a stored table of typed features. Rejection counts, dimension keys and ids come
+    from the columns of that table. Returns the row counts.
     """
-    features = derive_features(raw)
+    features = staged(derive_features(raw))
     accounts = {row.measure: row.n_rows for row in quality.quality_report(features).collect()}
     clean = quality.quality_filter(features)
     dimensions = star.build_dimensions(clean)
@@ -155,10 +155,15 @@ def classification(incidents: DataFrame, out: str, tune: bool = True, estimators
     best = outcome.best("f1_breakdown")
     for result in outcome.results:
         result["f1_per_second"] = round(result["f1_breakdown"] / max(result["train_seconds"], 0.01), 4)
+    label = ml_features.BREAKDOWN_RISK.label
+    matrix = metrics.confusion_matrix(outcome.predictions[best], label, "prediction")
     document: dict[str, object] = {
         "task": "classification_is_breakdown",
+        "label_balance": {str(r[label]): r["count"] for r in prepared.groupBy(label).count().collect()},
         "results": outcome.results,
         "best_model": best,
+        "confusion_matrix": [r.asDict() for r in matrix.collect()],
+        "roc": {name: roc_points(rows, label) for name, rows in outcome.predictions.items()},
     }
     if tune:
         train, _ = split.hash_split(prepared)
@@ -170,6 +175,14 @@ def classification(incidents: DataFrame, out: str, tune: bool = True, estimators
     return document
 
 
+def roc_points(predictions: DataFrame, label: str, steps: int = 100) -> list[dict[str, float]]:
+    """The ROC curve of a prediction frame for drawing: of each hundredth of the false positive rate its last point."""
+    curve = metrics.roc_curve(ml_models.with_probability(predictions), label, "p1")
+    step = F.floor(F.col("fpr") * steps)
+    points = curve.groupBy(step.alias("step")).agg(F.max(F.struct("fpr", "tpr")).alias("p")).orderBy("step").select("p.*")
+    return [r.asDict() for r in points.collect()]  # at most steps + 1 rows
+
+
 def regression(incidents: DataFrame, out: str, sample: float = 0.05, estimators=None) -> dict[str, object]:
     """Compare the delay regressors, store the best model, a prediction sample and all metrics."""
     outcome = ml_models.compare_regressors(ml_features.prepare_delay(incidents), estimators)
@@ -182,6 +195,7 @@ def regression(incidents: DataFrame, out: str, sample: float = 0.05, estimators=
     ranked = ml_models.importances(outcome, best)
     document = {
         "task": "regression_delay_minutes",
+        "n_rows": incidents.filter(F.col(ml_features.DELAY_MINUTES.label).isNotNull()).count(),
         "results": outcome.results,
         "best_model": best,
         "feature_importances": [r.asDict() for r in ranked.collect()] if ranked is not None else [],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -75,6 +76,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table under the shared checkpoint folder: what reads it later reads only its columns."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4()}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 @contextmanager
 def cached(*frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[tuple[DataFrame, ...]]:
     """Persist frames for the length of a block (spilling to disk) and release them after."""

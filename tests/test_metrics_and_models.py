@@ -102,6 +102,10 @@ def test_classification_job(spark, incidents, tmp_path):
     chosen = ml_models.classifiers(iterations=5, trees=5, depth=5, rounds=5, round_depth=4)
     chosen.pop("LogisticRegression")
     document = jobs.classification(planted, str(tmp_path), tune=False, estimators=chosen)
+    assert sum(sum(v for k, v in row.items() if k != "label") for row in document["confusion_matrix"]) > 0
+    assert sum(document["label_balance"].values()) == incidents.count()
+    for points in document["roc"].values():
+        assert points == sorted(points, key=lambda p: (p["fpr"], p["tpr"])) and points[-1] == {"fpr": 1.0, "tpr": 1.0}
     assert {r["model"] for r in document["results"]} == {"RandomForest", "GBTClassifier"}
     assert max(r["roc_auc"] for r in document["results"]) > 0.7
     whole = PipelineModel.load(f"{tmp_path}/model_{document['best_model']}")
