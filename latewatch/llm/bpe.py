@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.inputs import TaskCache, texts
+from latewatch.llm.inputs import TaskCache, by_size, texts
 
 MOST_CHUNKS = 250_000
 #: Blanks to Python but not to the tokenizer's pattern.
@@ -249,17 +248,6 @@ def tokenizer(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
-def by_size(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of so many bytes of text; a single longer text is a part of its own."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        end = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, side="right"))
-        end = max(end, start + 1)
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def encode_batch(values: list[str], table: ChunkTable) -> list[np.ndarray]:
     """Ids of each text."""
     chunks = table.tokenizer.chunks
@@ -271,23 +259,29 @@ def encode_batch(values: list[str], table: ChunkTable) -> list[np.ndarray]:
     return [table.gather(n) for n in numbers]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Parts of the batches with the ids of their texts (column 1)."""
+    table = ChunkTable(tokenizer(path))
+    for batch in batches:
+        for part in by_size(batch, 1):
+            if len(table) > MOST_CHUNKS:
+                table = ChunkTable(tokenizer(path))
+            yield part, encode_batch(part.column(1).to_pylist(), table)
+
+
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
+
+
 def encode(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, ids`` of every row: ``ids`` is an array of integers."""
     path = path or tokenizer_path()
     rows = texts(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(tokenizer(path))
-        for batch in batches:
-            for part in by_size(batch, 1):
-                if len(table) > MOST_CHUNKS:
-                    table = ChunkTable(tokenizer(path))
-                ids = encode_batch(part.column(1).to_pylist(), table)
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))], names=["doc_id", "ids"]
-                )
+        for part, ids in _encoded(batches, path):
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids)], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -310,6 +304,20 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: ``doc_id, ids, decoded``."""
+    path = path or tokenizer_path()
+    rows = texts(docs, id_column, text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = tokenizer(path).tokens
+        for part, ids in _encoded(batches, path):
+            decoded = [" ".join(map(tokens.__getitem__, i.tolist())) for i in ids]
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Of (doc_id, ids, decoded): ``doc_id, ids, n_tokens, ids_sha256, decoded_sha256``."""
     return decoded.select(

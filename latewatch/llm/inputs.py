@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +44,14 @@ class TaskCache(dict):
 
     def __reduce__(self):
         return (TaskCache, ())
+
+
+def by_size(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of so many bytes of text; a single longer text is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, side="right"))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end

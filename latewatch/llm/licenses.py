@@ -25,8 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.bpe import by_size
-from latewatch.llm.inputs import TaskCache, texts
+from latewatch.llm.inputs import TaskCache, by_size, texts
 
 # Notices and the distinctive passages of common licenses, as their publishers word them.
 TEMPLATES = {

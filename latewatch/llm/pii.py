@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.bpe import by_size
-from latewatch.llm.inputs import texts
+from latewatch.llm.inputs import by_size, texts
 
 KINDS = ("email", "ip", "card", "phone")
 

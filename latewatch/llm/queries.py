@@ -65,7 +65,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))).drop("ids")
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"))).drop("ids")
 
 
 @register()

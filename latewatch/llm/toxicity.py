@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.inputs import TaskCache, texts
+from latewatch.llm.inputs import TaskCache, by_size, texts
 from latewatch.session import durable
 
 # English insults that hold in any corpus.
@@ -135,7 +135,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_RO
 
 
 def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    once, thrice = (Counter(), Counter()), (Counter(), Counter())
+    """Documents of either label with each beginning, once and three times, in parts of a bounded number of beginnings."""
+    names = ["stem", "p1", "n1", "p3", "n3"]
+    counts: dict[str, list[int]] = {}
+
+    def told() -> pa.RecordBatch:
+        columns = [pa.array([c[k] for c in counts.values()], pa.int64()) for k in range(4)]
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *columns], names=names)
+
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             here: Counter = Counter()
@@ -143,14 +150,15 @@ def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 for n in LENGTHS:
                     if len(word) >= n:
                         here[word[:n]] += 1
-            side = int(toxic == 1)
-            once[side].update(here.keys())
-            thrice[side].update(s for s, n in here.items() if n >= 3)
-    stems = [*set(once[0]) | set(once[1])]
-    for k in range(0, len(stems), 50_000):
-        part = stems[k : k + 50_000]
-        columns = [pa.array([c[s] for s in part], pa.int64()) for c in (once[1], once[0], thrice[1], thrice[0])]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *columns], names=["stem", "p1", "n1", "p3", "n3"])
+            side = 0 if toxic == 1 else 1
+            for stem, n in here.items():
+                found = counts.setdefault(stem, [0, 0, 0, 0])
+                found[side] += 1
+                found[side + 2] += n >= 3
+            if len(counts) > 100_000:
+                yield told()
+                counts = {}
+    yield told()
 
 
 def learned_stems(sample: DataFrame, toxic: int, clean: int, most: int = MOST_STEMS) -> tuple[str, ...]:
@@ -318,10 +326,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_column
     rows = texts(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = model.scores(batch.column(1).to_pylist())
+        for part in (p for batch in batches for p in by_size(batch, 1)):
+            p = model.scores(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]
+                [part.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]
             )
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
@@ -332,8 +340,8 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, t
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [t or "" for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(model.scores(values) < threshold))
+        for part in (p for batch in batches for p in by_size(batch, place)):
+            values = [t or "" for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(model.scores(values) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
