@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids``, their number, and digests of the ids and of what they decode to."""
-    return bpe.digests(bpe.decode(bpe.encode(docs)))
+    return bpe.digests(bpe.round_trip(docs))
 
 
 STAGES = [
