@@ -11,7 +11,6 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,41 +124,39 @@ def tune_logistic(
     elastic_mix: tuple[float, ...] = ELASTIC_MIX,
     folds: int = 3,
     iterations: int = 50,
-    parallelism: int = 2,
     keys: tuple[str, ...] = ("busbreakdown_id",),
-) -> tuple[CrossValidatorModel, dict[str, object]]:
-    """Cross-validated grid search of the logistic regression by ROC area.
+) -> tuple[PipelineModel, dict[str, object]]:
+    """Cross-validated grid search of the logistic regression by ROC area, over prepared (not yet encoded) rows.
 
-    Folds follow from the row key, so that they are the same on every run and cluster.
+    Folds follow from the row key, so that they are the same on every run and cluster. Encoders and scaler are fitted
+    anew for every fold, on its training side only; all settings then share the encoded rows.
     """
     model = LogisticRegression(
         featuresCol="features", labelCol=BREAKDOWN_RISK.label, weightCol="classWeight", maxIter=iterations
     )
-    grid = (
-        ParamGridBuilder()
-        .addGrid(model.regParam, list(regularisation))
-        .addGrid(model.elasticNetParam, list(elastic_mix))
-        .build()
-    )
-    search = CrossValidator(
-        estimator=model,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=BREAKDOWN_RISK.label, metricName="areaUnderROC"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    columns = ["features", BREAKDOWN_RISK.label, "classWeight", "fold"]
-    fitted = search.fit(with_folds(train, folds, keys).select(*columns))
-    best = fitted.bestModel
-    settings = [
-        {"regParam": s[model.regParam], "elasticNetParam": s[model.elasticNetParam], "roc_auc": float(score)}
-        for s, score in zip(grid, fitted.avgMetrics)
-    ]
+    judge = BinaryClassificationEvaluator(labelCol=BREAKDOWN_RISK.label, metricName="areaUnderROC")
+    grid = [{model.regParam: r, model.elasticNetParam: e} for r in regularisation for e in elastic_mix]
+    areas: list[list[float]] = [[] for _ in grid]
+    used = [*BREAKDOWN_RISK.categorical, *BREAKDOWN_RISK.numeric, BREAKDOWN_RISK.label, "classWeight"]
+    with cached(with_folds(train, folds, keys).select(*used, "fold")) as (rows,):
+        for fold in range(folds):
+            inside, outside = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+            encoders = feature_pipeline(BREAKDOWN_RISK).fit(inside)
+            columns = ["features", BREAKDOWN_RISK.label, "classWeight"]
+            with cached(encoders.transform(inside).select(*columns), encoders.transform(outside).select(*columns)) as (tr, te):
+                for setting, found in zip(grid, areas):
+                    found.append(judge.evaluate(model.fit(tr, setting).transform(te)))
+        settings = [
+            {"regParam": s[model.regParam], "elasticNetParam": s[model.elasticNetParam], "roc_auc": sum(found) / folds}
+            for s, found in zip(grid, areas)
+        ]
+        best = max(range(len(grid)), key=lambda k: settings[k]["roc_auc"])
+        encoders = feature_pipeline(BREAKDOWN_RISK).fit(rows)
+        fitted = PipelineModel(stages=[*encoders.stages, model.fit(encoders.transform(rows), grid[best])])
     return fitted, {
-        "best_regParam": float(best.getRegParam()),
-        "best_elasticNetParam": float(best.getElasticNetParam()),
-        "best_cv_roc_auc": max(s["roc_auc"] for s in settings),
+        "best_regParam": settings[best]["regParam"],
+        "best_elasticNetParam": settings[best]["elasticNetParam"],
+        "best_cv_roc_auc": settings[best]["roc_auc"],
         "settings": settings,
     }
 

@@ -1100,40 +1100,27 @@ def _(spark, sf_dir):
     return found.select("busbreakdown_id", *[f"{c}_idx" for c in _INDEXED])
 
 
-def _small_classifiers():
-    return ml_models.classifiers(iterations=10, trees=5, depth=4, rounds=3, round_depth=3)
-
-
-def _small_regressors():
-    return ml_models.regressors(iterations=10, trees=5, depth=4, rounds=3, round_depth=3)
-
-
 @register("cls_metrics")
 def _(spark, sf_dir):
-    prepared = ml_features.prepare_risk(incidents(spark, sf_dir))
-    return ml_models.results_frame(ml_models.compare_classifiers(prepared, _small_classifiers()))
+    return ml_models.results_frame(ml_models.compare_classifiers(ml_features.prepare_risk(incidents(spark, sf_dir))))
 
 
 @register("reg_metrics")
 def _(spark, sf_dir):
-    prepared = ml_features.prepare_delay(incidents(spark, sf_dir))
-    return ml_models.results_frame(ml_models.compare_regressors(prepared, _small_regressors()))
+    return ml_models.results_frame(ml_models.compare_regressors(ml_features.prepare_delay(incidents(spark, sf_dir))))
 
 
 @register("feature_importance")
 def _(spark, sf_dir):
     prepared = ml_features.prepare_delay(incidents(spark, sf_dir))
-    forest = {"Random Forest": _small_regressors()["Random Forest"]}
-    outcome = ml_models.compare_regressors(prepared, forest)
-    return ml_models.importances(outcome, "Random Forest")
+    forest = {"Random Forest": ml_models.regressors()["Random Forest"]}
+    return ml_models.importances(ml_models.compare_regressors(prepared, forest), "Random Forest")
 
 
 @register("cv_metrics")
 def _(spark, sf_dir):
-    prepared = ml_features.prepare_risk(incidents(spark, sf_dir))
-    train, _ = split.hash_split(prepared)
-    rows = ml_features.feature_pipeline(ml_features.BREAKDOWN_RISK).fit(train).transform(train)
-    _, summary = ml_models.tune_logistic(rows, regularisation=(0.0, 0.1), elastic_mix=(0.0,), folds=2, iterations=10)
+    train, _ = split.hash_split(ml_features.prepare_risk(incidents(spark, sf_dir)))
+    _, summary = ml_models.tune_logistic(train)
     return spark.createDataFrame(summary["settings"])
 
 

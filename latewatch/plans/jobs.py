@@ -166,10 +166,7 @@ def classification(incidents: DataFrame, out: str, tune: bool = True, estimators
         "roc": {name: roc_points(rows, label) for name, rows in outcome.predictions.items()},
     }
     if tune:
-        train, _ = split.hash_split(prepared)
-        rows = outcome.features.transform(train).select("busbreakdown_id", "features", "is_breakdown", "classWeight")
-        with ml_models.cached(rows) as (held,):
-            _, document["cross_validation"] = ml_models.tune_logistic(held)
+        _, document["cross_validation"] = ml_models.tune_logistic(split.hash_split(prepared)[0])
     writers.write_model(outcome.whole_model(best), f"{out}/model_{best}")
     writers.write_document(incidents.sparkSession, document, f"{out}/classification_metrics.json")
     return document

@@ -115,9 +115,9 @@ def test_classification_job(spark, incidents, tmp_path):
 
 def test_tuning_reports_every_setting(spark, incidents):
     prepared = ml_features.prepare_risk(incidents)
-    rows = ml_features.feature_pipeline(ml_features.BREAKDOWN_RISK).fit(prepared).transform(prepared)
-    _, summary = ml_models.tune_logistic(rows, (0.0, 0.1), (0.0,), folds=2, iterations=3)
+    fitted, summary = ml_models.tune_logistic(prepared, (0.0, 0.1), (0.0,), folds=2, iterations=3)
     assert len(summary["settings"]) == 2
+    assert fitted.transform(prepared).select("prediction").count() == prepared.count()
     assert summary["best_cv_roc_auc"] == max(s["roc_auc"] for s in summary["settings"])
 
 
