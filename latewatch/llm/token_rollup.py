@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latewatch.llm.inputs import texts, word_count
+from latewatch.session import durable
 
 KEYS = ("source", "lang", "tokenizer")
 SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -129,17 +130,24 @@ def corpus_rollup(spark: SparkSession, docs: DataFrame, labels: DataFrame, folde
     are deleted; toxic ones lose their digits (revised counts); the rest is counted anew under ``pieces-2``.
     Batches are sent twice, as after a failure."""
     rollup = Rollup(spark, f"{folder}/rollup-{uuid.uuid4()}")
+    text = F.col("text")
+    counted = count_tokens(
+        docs, {"words-1": words_v1(text), "pieces-2": pieces_v2(text), "revised": words_v1(F.regexp_replace(text, "[0-9]+", ""))}
+    )
+    # The texts are read once; from here on only counts are joined and summed.
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    first, second = {"words-1": words_v1(F.col("text"))}, {"pieces-2": pieces_v2(F.col("text"))}
-    bad = docs.join(marks.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
-    good = docs.join(marks.filter("quality = 0").select("doc_id"), "doc_id", "left_anti")
-    toxic = good.join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    revised = toxic.withColumn("text", F.regexp_replace("text", r"[0-9]+", ""))
+    marked = durable(counted.join(marks, "doc_id", "left"))
+    good = F.coalesce(F.col("quality"), F.lit(1)) != 0
+
+    def counts(version: str, chosen: Column = F.lit(True)) -> DataFrame:
+        return marked.filter((F.col("tokenizer") == version) & chosen)
+
+    revised = good & (F.col("toxic") == 1)
     batches = {
-        "1-insert": inserts(count_tokens(docs, first)),
-        "2-delete": deletes(count_tokens(bad, first)),
-        "3-revise": revisions(count_tokens(toxic, first), count_tokens(revised, first)),
-        "4-recount": inserts(count_tokens(good, second)),
+        "1-insert": inserts(counts("words-1")),
+        "2-delete": deletes(counts("words-1", ~good)),
+        "3-revise": revisions(counts("words-1", revised), counts("revised", revised).withColumn("tokenizer", F.lit("words-1"))),
+        "4-recount": inserts(counts("pieces-2", good)),
     }
     for name, deltas in batches.items():
         rollup.commit(name, deltas)
