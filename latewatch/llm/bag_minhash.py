@@ -12,10 +12,10 @@ Candidates. ``BANDS`` bands of ``ROWS`` registers; texts meet in a bucket if the
 
 Classes. Exact copies are one node. In every bucket each text is compared with one representative; components of the
 verified links come next. Only pairs of different components that share a bucket can still join anything: the members
-of such a bucket are laid out in blocks, and pairs of blocks compare their sketches (a byte of each register) in numpy.
-Pairs that the sketch puts within four standard errors of the threshold are verified on the whole texts, the most promising
-first, until none is left. So no bucket is expanded into all its pairs, and no link that the bands show between
-different classes is lost. Verification counts the shared shingles of the two whole texts.
+of such a bucket are laid out in blocks, and a tile of two blocks compares their sketches (a byte of each register) in
+numpy. Members with a partner that the sketch puts within four standard errors of the threshold get their whole texts, and
+the tile counts the shared shingles of all its pairs as one matrix product. Tiles tell only links that join something. So no
+bucket is expanded into rows of pairs, and no link that the bands show between different classes is lost.
 
 Work: one pass over the texts for the signatures, one for the texts of candidates; everything else moves ids and sketches. No
 list of links, classes or fingerprints comes to the driver.
@@ -44,9 +44,9 @@ from latewatch.session import durable
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-BLOCK = 128
-#: Representatives that the bands of a group of copies take turns with.
-TURNS = 5
+BLOCK = 192
+#: Columns of the matrix of a tile that are counted at a time.
+COLUMNS = 1 << 15
 
 
 # ---------------------------------------------------------------- signatures
@@ -178,31 +178,34 @@ def overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
     return shared / np.maximum(np.bincount(of[first], np.maximum(left_count, right_count), n), 1)
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Stored ``a, b, linked`` of pairs of nodes: whether their whole texts are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node")
+def node_texts(wanted: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored ``node, text`` of the nodes wanted (one column, distinct); of exact copies one text is read."""
     first = Window.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last())
-    held = (
-        rows.join(wanted.hint("shuffle_hash"), "digest")
+    return durable(
+        rows.join(wanted.join(nodes.select("node", "digest"), "node").hint("shuffle_hash"), "digest")
         .withColumn("place", F.row_number().over(first))
         .filter("place = 1")
         .select("node", "text")
     )
-    held = durable(held)
+
+
+def verify(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Stored ``a, b`` of those pairs of nodes whose whole texts are similar enough."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    held = node_texts(wanted, nodes, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = 64
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                linked = overlaps(part.column(2), part.column(3)) >= similarity
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(linked)], names=["a", "b", "linked"])
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                linked = pa.array(overlaps(part.column(2), part.column(3)) >= similarity)
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(linked), part.column(1).filter(linked)], names=["a", "b"])
 
     return durable(
         pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(run, "a long, b long, linked boolean")
+        .mapInArrow(run, "a long, b long")
     )
 
 
@@ -254,31 +257,104 @@ def _tiles(members: DataFrame, sketches: DataFrame) -> DataFrame:
     )
 
 
-def promising(tiles: DataFrame, most: int, cut: float) -> DataFrame:
-    """``a, b, more`` of members of different components whose sketches agree well enough: of each member of a tile the
-    ``most`` best partners; ``more`` where it has further ones."""
+def _allowed(label: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Pairs of a tile to look at: of different components and of different blocks, each once."""
+    order = np.arange(len(label))
+    across = ((side != 1)[:, None] & (side == 1)[None, :]) | ((side == 2)[:, None] & (side == 2)[None, :] & (order[:, None] < order[None, :]))
+    return across & (label[:, None] != label[None, :])
+
+
+def promising(tiles: DataFrame, cut: float) -> DataFrame:
+    """``tile, node, label, side`` of the members whose sketch agrees well enough with that of a member of another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_a, out_b, out_more = [], [], []
-            for held in batch.column(0).to_pylist():
-                node = np.array([h["node"] for h in held])
-                label = np.array([h["label"] for h in held])
-                side = np.array([h["side"] for h in held])
+            out: list[tuple] = []
+            for tile, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                label, side = (np.array([h[k] for h in held]) for k in ("label", "side"))
                 sketch = np.array([np.frombuffer(h["sketch"], np.uint8) for h in held])
-                for k in np.flatnonzero(side != 1):
-                    fit = np.flatnonzero((label != label[k]) & ((side == 1) | (side == 2) & (np.arange(len(node)) > k)))
-                    agree = (sketch[fit] == sketch[k]).mean(axis=1) if len(fit) else np.zeros(0)
-                    fit, agree = fit[agree >= cut], agree[agree >= cut]
-                    best = fit[np.argsort(-agree, kind="stable")[:most]]
-                    out_a += [min(node[k], x) for x in node[best]]
-                    out_b += [max(node[k], x) for x in node[best]]
-                    out_more += [len(fit) > most] * len(best)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_more, pa.bool_())], names=["a", "b", "more"]
-            )
+                allowed = _allowed(label, side)
+                involved = np.zeros(len(held), dtype=bool)
+                for k in np.flatnonzero(allowed.any(axis=1)):
+                    fit = np.flatnonzero(allowed[k])
+                    near = fit[(sketch[fit] == sketch[k]).mean(axis=1) >= cut]
+                    involved[near] = True
+                    involved[k] |= len(near) > 0
+                out += [(tile, held[k]["node"], held[k]["label"], held[k]["side"]) for k in np.flatnonzero(involved)]
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["tile", "node", "label", "side"])
+
+    named = tiles.select(F.xxhash64("band", "key", "kind", "i", "j").alias("tile"), "held")
+    return named.mapInArrow(run, "tile long, node long, label long, side int")
+
+
+def shared_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles each two texts share, with repetition, and how many each has.
+
+    The k-th occurrence of a shingle is an element of its own, so that multisets are sets; elements are the columns
+    of a 0/1 matrix, and the matrix times its transpose counts what rows share. Elements of a single text are left out,
+    and the others are taken some thousand at a time.
+    """
+    n = len(column)
+    parts = []
+    for first, _, data, offsets in slices(column):
+        hashes, of = shingle_hashes(data, offsets)
+        parts.append((hashes, of + first))
+    hashes, of = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])]) if len(hashes) else np.zeros(0, bool)
+    starts = np.flatnonzero(fresh)
+    occurrence = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
+    sizes = np.bincount(of, minlength=n)
+    elements, number = np.unique(scramble(hashes + occurrence.astype(np.uint64) * PLACES[0]), return_inverse=True)
+    common = np.bincount(number, minlength=len(elements)) > 1
+    place = np.cumsum(common) - 1
+    keep = common[number]
+    number, of = place[number[keep]], of[keep]
+    order = np.argsort(number, kind="stable")
+    number, of = number[order], of[order]
+    shared = np.zeros((n, n))
+    for low in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(number, [low, low + COLUMNS])
+        matrix = np.zeros((n, min(COLUMNS, int(common.sum()) - low)), np.float32)
+        matrix[of[a:b], number[a:b] - low] = 1
+        shared += matrix @ matrix.T
+    return shared, sizes
+
+
+def joining_links(members: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: links between different components, for each tile as few as join the same components."""
 
-    return tiles.select("held").mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in batch.column(0):
+                found = row.values
+                node, label, side = (found.field(k).to_numpy(zero_copy_only=False) for k in ("node", "label", "side"))
+                shared, sizes = shared_counts(found.field("text"))
+                together = np.maximum(sizes[:, None] + sizes[None, :] - shared, 1)
+                parent = {k: k for k in label.tolist()}
+                for i, j in zip(*np.nonzero(_allowed(label, side) & (shared / together >= similarity))):
+                    x, y = int(label[i]), int(label[j])
+                    while parent[x] != x:
+                        x = parent[x]
+                    while parent[y] != y:
+                        y = parent[y]
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        out.append((int(node[i]), int(node[j])))
+            columns = list(zip(*out)) if out else [[]] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return (
+        members.join(held, "node")
+        .groupBy("tile")
+        .agg(F.collect_list(F.struct("node", "label", "side", "text")).alias("held"))
+        .select("held")
+        .mapInArrow(run, "a long, b long")
+    )
 
 
 # ---------------------------------------------------------------- classes
@@ -300,34 +376,24 @@ def near_classes(
         .select(F.monotonically_increasing_id().alias("node"), "digest", "order", "copies", "s.bands", "s.sketch", "s.weight")
     )
     buckets = nodes.filter("weight > 0").select("node", F.posexplode("bands").alias("band", "key"))
-    turn = F.struct(F.xxhash64("node", F.col("band") % TURNS).alias("draw"), "node")
+    # Every band draws its own representative of a bucket, so that a dense group is held together by many.
+    turn = F.struct(F.xxhash64("node", "band").alias("draw"), "node")
     leaders = buckets.groupBy("band", "key").agg(F.min(turn).alias("leader"), F.count("*").alias("n")).filter("n > 1")
     members = durable(buckets.join(leaders, ["band", "key"]).select("band", "key", "node", F.col("leader.node").alias("leader")))
     pairs = durable(
         members.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     )
-    checked = verify(pairs, nodes, rows, similarity)
-    links = checked.filter("linked").select("a", "b")
+    links = verify(pairs, nodes, rows, similarity)
     labels = components(links)
 
-    m = BANDS * ROWS
-    cut = similarity - 4 * math.sqrt(similarity * (1 - similarity) / m)
-    most = 4
-    while True:
-        placed = members.select("band", "key", "node").join(labels, "node", "left").select(
-            "band", "key", "node", F.coalesce("label", "node").alias("label")
-        )
-        found = durable(promising(_tiles(placed, nodes.select("node", "sketch")), most, cut))
-        more = not found.filter("more").isEmpty()
-        new = found.select("a", "b").join(checked, ["a", "b"], "left_anti")
-        if not new.isEmpty():
-            fresh = verify(new, nodes, rows, similarity)
-            checked = durable(checked.union(fresh))
-            if not fresh.filter("linked").isEmpty():
-                labels = components(checked.filter("linked").select("a", "b"))
-        if not more:
-            break
-        most *= 8
+    cut = similarity - 4 * math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
+    placed = members.select("band", "key", "node").join(labels, "node", "left").select(
+        "band", "key", "node", F.coalesce("label", "node").alias("label")
+    )
+    open_ = durable(promising(_tiles(placed, nodes.select("node", "sketch")), cut))
+    if not open_.isEmpty():
+        held = node_texts(open_.select("node").distinct(), nodes, rows)
+        labels = components(links.union(joining_links(open_, held, similarity)))
 
     labelled = nodes.join(labels, "node", "left").select("digest", "order", "copies", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("order", "digest")).alias("first"), F.sum("copies").alias("class_size"))
