@@ -179,12 +179,15 @@ def overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 
 def node_texts(wanted: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored ``node, text`` of the nodes wanted (one column, distinct); of exact copies one text is read."""
+    """Stored ``node, text`` of the nodes wanted (one column, distinct).
+
+    Of exact copies each task passes on one, so that a text that very many rows have does not meet in one task.
+    """
     first = Window.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last())
     return durable(
-        rows.join(wanted.join(nodes.select("node", "digest"), "node").hint("shuffle_hash"), "digest")
-        .withColumn("place", F.row_number().over(first))
+        rows.withColumn("place", F.row_number().over(first))
         .filter("place = 1")
+        .join(wanted.join(nodes.select("node", "digest"), "node").hint("shuffle_hash"), "digest")
         .select("node", "text")
     )
 
