@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from latewatch.llm.inputs import texts, word_count
+from latewatch.operators.joins import sized as broadcast_if_sized
 from latewatch.session import durable
 
 BLOCK = 16
@@ -161,7 +162,8 @@ def mix(
         "source", "source_size", "target", F.col("quota").alias("source_quota"),
         F.ceil(F.col("documents") / rows_per_shard).cast("long").alias("shards"),
     )
-    # One row per source beside every document: small sides are broadcast by their size, larger ones shuffled.
+    # One row per source beside every document: copied to every executor if its measured size allows that.
+    seats = broadcast_if_sized(seats=durable(seats))["seats"]
     same_source = F.col("r.source").eqNullSafe(F.col("s.source"))
     rows = sized.alias("r").join(seats.alias("s"), same_source).select(
         "r.doc_id", "r.source", "r.size", "r.order", "s.source_size", "s.target", "s.source_quota",
