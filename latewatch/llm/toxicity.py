@@ -19,9 +19,11 @@ labels that are null are not used, and of several labels of a document the large
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -82,13 +84,30 @@ def stem_counts(text: str, stems: tuple[str, ...], into: np.ndarray) -> int:
 
 
 PATTERNS = ("shouting", "loud marks", "symbols", "short")
+_CAPITALS = bytes(c for c in range(128) if chr(c).isupper())
+
+
+@cache
+def _is_capital() -> np.ndarray:
+    return np.fromiter((chr(c).isupper() for c in range(sys.maxunicode + 1)), bool)
+
+
+def capitals(text: str) -> int:
+    """How many characters of the whole text are capitals, as ``str.isupper`` has it."""
+    if text.isascii():
+        data = text.encode("ascii")
+        return len(data) - len(data.translate(None, _CAPITALS))
+    total = 0
+    for start in range(0, len(text), 1 << 20):
+        codes = np.frombuffer(text[start : start + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
+        total += int(np.count_nonzero(_is_capital()[codes]))
+    return total
 
 
 def pattern_flags(text: str) -> tuple[bool, ...]:
     """Signs of style, each a voter of its own: capitals, runs of exclamation marks, symbols inside the text, few words."""
-    upper = sum(map(str.isupper, text[::7])) * 7
     return (
-        upper > 0.5 * len(text) > 0,
+        capitals(text) > 0.5 * len(text) > 0,
         _LOUD.search(text) is not None,
         text.count("#") + text.count("$") + text.count("%") > 0.02 * len(text) > 0,
         text.count(" ") < 20,

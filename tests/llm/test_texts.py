@@ -215,6 +215,16 @@ def test_label_model_finds_accuracies_and_shares_weight():
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.85
 
 
+def test_shouting_counts_every_character():
+    for text in ("This.", "Hi", "a" * 6 + "BCDEFG" + "hIJKLMN" * 3, "ABCDEF g" * 9, "ÀÉÎ àé", "Ⅷ ДА нет", "", "😀A"):
+        assert toxicity.capitals(text) == sum(map(str.isupper, text))
+        assert toxicity.pattern_flags(text)[0] == (sum(map(str.isupper, text)) > 0.5 * len(text) > 0)
+    assert not toxicity.pattern_flags("This.")[0]
+    assert toxicity.pattern_flags("aBCDEFG" * 5)[0]
+    long = "É" * (1 << 20) + "é" * (1 << 20) + "É"
+    assert toxicity.capitals(long) == (1 << 20) + 1 and toxicity.pattern_flags(long)[0]
+
+
 def test_toxicity_tricky_rows(tricky, no_docs, marks, no_marks):
     for labels in (marks, no_marks):
         model = toxicity.fit(tricky, labels)
