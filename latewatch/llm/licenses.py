@@ -1,10 +1,10 @@
 """License scans by conditional compression.
 
 A block is a stretch of words around license vocabulary. It is compressed alone and once more with each template as a raw zstandard
-dictionary; what the dictionary saves ranks the templates. The winner is
-confirmed by its exact wording: the block is aligned with the template word by word, and it counts only if the words
-that differ from the aligned passage of the template are few; they are returned as they stand. If the best template
-fails, the next best is tried.
+dictionary; what the dictionary saves ranks the templates. They are
+confirmed by their exact wording: the block is aligned with each ranked passage word by word, and a place counts only if
+the words that differ from the passage are few; they are returned as they stand. Every license with a confirmed place
+of its own is returned, however many a block has: confirmed places are masked and the rest of the block is ranked again.
 
 Texts without license vocabulary are filtered by Spark; the others are read whole, in Arrow batches, without a shuffle.
 Templates are a parameter (a few kB).
@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -147,23 +148,76 @@ def differences(block: str, passage: str) -> tuple[int, list[str]]:
     return sum(steps[k][2] - steps[k][1] for k in same), out
 
 
+def _costs(ours: np.ndarray, theirs: np.ndarray, anywhere: bool) -> np.ndarray:
+    """For every end in ``ours``: the fewest words missing and in between when ``theirs`` is aligned with the words up
+    to there, from the first one or from ``anywhere``."""
+    at = np.arange(len(ours) + 1)
+    row = np.zeros_like(at) if anywhere else at
+    for word in theirs:
+        here = row + 1
+        np.minimum(here[1:], np.where(ours == word, row[:-1], len(ours) + len(theirs) + 1), out=here[1:])
+        row = np.minimum.accumulate(here - at) + at
+    return row
+
+
+def _places(ours: np.ndarray, theirs: np.ndarray) -> list[tuple[int, int]]:
+    """``cost, end`` of every alignment of the passage in which few words differ, but not where a slightly longer one
+    costs no more."""
+    costs = _costs(ours, theirs, True)
+    ends = np.flatnonzero(costs <= MOST_DIFFERENT * len(theirs))
+    return [(c, int(end)) for end in ends if end and not ((c := int(costs[end])) and costs[end + 1 : end + 2 * c + 1].min(initial=c + 1) <= c)]
+
+
+def _start(ours: np.ndarray, theirs: np.ndarray, cost: int, end: int) -> int:
+    """Start of the longest stretch, that with most words in common, which ends there and has that cost."""
+    first = max(end - len(theirs) - cost, 0)
+    back = _costs(ours[first:end][::-1], theirs[::-1], False)
+    return end - int(np.flatnonzero(back == cost)[-1])
+
+
 def scan_block(block: str, templates: dict[str, tuple[str, ...]]) -> list[tuple[str, float, str, bool]]:
-    """``license, saved, differences, confirmed``: every license that the block has word for word; if none, the best
-    ranked one whose wording differs little; if none, the best ranked one, not confirmed; nothing if none saves enough."""
+    """``license, saved, differences, confirmed``: every license that the block has word for word, then every other one
+    whose wording differs little at a place of its own; if none, the best ranked one, not confirmed; nothing if none
+    saves enough. Where several passages fit at one place, the one with the smallest share of differing words counts,
+    of equal ones the best ranked. Confirmed places are masked and the rest is ranked again, until nothing more is found."""
     exact: dict[str, tuple[str, float, str, bool]] = {}
-    near: list[tuple[str, float, str, bool]] = []
-    ranked = [s for s in savings(block, templates) if s[0] >= LEAST_SAVED]
-    for saved, name, k in ranked:
-        _, changes = differences(block, templates[name][k])
-        if not changes:
-            exact.setdefault(name, (name, saved, "", True))
-        elif len(changes) <= MOST_DIFFERENT * len(bare_words(templates[name][k])):
-            near.append((name, saved, " ".join(changes), True))
+    near: dict[str, tuple[str, float, str, bool]] = {}
+    raw = [w for w in block.split() if _BARE.sub("", w.lower())]
+    numbers: dict[str, int] = {}
+    ours = np.array([numbers.setdefault(_BARE.sub("", w.lower()), len(numbers)) for w in raw], np.int64)
+    passages = {
+        (name, k): np.array([numbers.get(w, -2) for w in bare_words(passage)], np.int64)
+        for name, several in templates.items()
+        for k, passage in enumerate(several)
+    }
+    first = ranked = [s for s in savings(block, templates) if s[0] >= LEAST_SAVED]
+    while ranked:
+        found = []
+        for rank, (saved, name, k) in enumerate(ranked):
+            if n := len(passages[name, k]):
+                found += [(cost / n, rank, end, cost, saved, name, k) for cost, end in _places(ours, passages[name, k])]
+        masked = np.zeros(len(ours), bool)
+        for _, _, end, cost, saved, name, k in sorted(found):
+            theirs = passages[name, k]
+            if not cost:
+                exact.setdefault(name, (name, saved, "", True))
+                masked[end - len(theirs) : end] = True
+            elif not masked[end - 1]:
+                start = _start(ours, theirs, cost, end)
+                if not masked[start:end].any():
+                    changes = differences(" ".join(raw[start:end]), templates[name][k])[1]
+                    near.setdefault(name, (name, saved, " ".join(changes), True))
+                    masked[start:end] = True
+        if not masked.any():
+            break
+        ours[masked] = -1
+        rest = " ".join(w for w, of in zip(raw, ours) if of >= 0)
+        ranked = [s for s in savings(rest, templates) if s[0] >= LEAST_SAVED] if rest else []
     if exact or near:
-        return list(exact.values()) or near[:1]
-    if not ranked:
+        return [*exact.values(), *(found for name, found in near.items() if name not in exact)]
+    if not first:
         return []
-    saved, name, k = ranked[0]
+    saved, name, k = first[0]
     return [(name, saved, " ".join(differences(block, templates[name][k])[1]), False)]
 
 

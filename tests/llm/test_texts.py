@@ -262,6 +262,27 @@ def test_license_wording():
     assert saved == sorted(saved, reverse=True)
 
 
+def test_every_license_of_a_block():
+    found = lambda t: {n: d for n, _, d, ok in licenses.scan_block(t, licenses.TEMPLATES) if ok}
+    mit, apache, gpl2, gpl3 = (licenses.TEMPLATES[n] for n in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0"))
+    altered_mit, altered_apache = mit[1].replace("merge, ", ""), apache[1].replace("under the", "below the")
+    # Exact and altered, in both orders; the prose between has words of both.
+    for text in (f"{mit[0]} Parts of the work are under another license. {altered_apache}", f"{altered_apache} Or: {mit[0]}"):
+        assert found(text) == {"MIT": "", "Apache-2.0": "-under +below"}
+    # Two altered notices, also of licenses that share most of their words.
+    assert found(f"{altered_apache} or, at your choice, {altered_mit}") == {"Apache-2.0": "-under +below", "MIT": "-merge"}
+    two = gpl2[1].replace("redistribute it", "share it") + " Some files: " + gpl3[1].replace("modify it", "change it")
+    assert found(two) == {"GPL-2.0": "-redistribute +share", "GPL-3.0": "-modify +change"}
+    # One altered notice stays one license, however often it stands there.
+    assert found(f"{altered_mit} " * 3) == {"MIT": "-merge"}
+    assert found(f"{gpl2[1].replace('redistribute it', 'share it')} {gpl2[0].replace('work', 'book')}").keys() == {"GPL-2.0"}
+    # A list of all notices, one of them altered.
+    every = " ".join(p for n, several in licenses.TEMPLATES.items() for p in several if n != "MIT") + " " + altered_mit
+    assert found(every) == {n: "-merge" if n == "MIT" else "" for n in licenses.TEMPLATES}
+    # Rows of the scan, both at one block.
+    assert len(list(licenses.blocks(f"{altered_apache} or {altered_mit}"))) == 1
+
+
 def test_licenses_tricky_rows(tricky, no_docs):
     rows = licenses.scan(tricky).collect()
     assert [(r["doc_id"], r["license"], r["confirmed"]) for r in rows] == [(12, "MIT", True)]
