@@ -1,5 +1,6 @@
 """Near duplicates against all pairs, the signature's mean, components, and the pipeline."""
 
+import math
 import random
 from collections import Counter
 
@@ -94,6 +95,12 @@ def test_registers_agree_as_often_as_multisets_are_similar():
         assert abs((names[0] == names[1]).mean() - expected) < 0.035
 
 
+def test_the_sketch_loses_hardly_a_pair():
+    registers = near.BANDS * near.ROWS
+    least = math.ceil(near.sketch_cut(0.8) * registers)
+    assert sum(math.comb(registers, k) * 0.8**k * 0.2 ** (registers - k) for k in range(least)) < 2e-6
+
+
 def test_overlaps_equal_counters():
     import pyarrow as pa
 
