@@ -46,6 +46,8 @@ from latewatch.session import durable
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 BLOCK = 192
+#: Shingles of a block on average, so that a tile of long texts stays at some hundred MB.
+BLOCK_WEIGHT = 1 << 20
 #: Columns of the matrix of a tile that are counted at a time.
 COLUMNS = 1 << 15
 
@@ -214,19 +216,28 @@ def verify(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: floa
 
 
 def _tiles(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members of buckets with several components, with their sketches, gathered in tiles of a bounded number of rows.
+    """Members of buckets with several components, with their sketches, gathered in tiles of a bounded number of rows
+    and of shingles (blocks are dealt by hash, so both bounds hold on average; a longer text is held whole).
 
     The largest component of a bucket need not be compared with itself: the others' blocks meet each other and the
     blocks of the largest. A tile holds two blocks; ``side`` tells which one a member belongs to (2: the only block).
     """
     bucket = ["band", "key"]
-    sizes = members.groupBy(*bucket, "label").agg(F.count("*").alias("n"))
+
+    def blocks(n: Column, weight: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.least(n, F.ceil(weight / BLOCK_WEIGHT)))
+
+    sizes = members.groupBy(*bucket, "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
     per = (
         sizes.groupBy(*bucket)
-        .agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
+        .agg(
+            F.sum("n").alias("all"), F.sum("w").alias("weight"), F.max(F.struct("n", "label", "w")).alias("most"), F.count("*").alias("labels")
+        )
         .filter("labels > 1")
-        .select(*bucket, F.col("most.label").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / BLOCK).alias("others"),
-                F.ceil(F.col("most.n") / BLOCK).alias("mains"), (F.col("all") <= BLOCK).alias("small"))
+        .select(*bucket, F.col("most.label").alias("main"),
+                blocks(F.col("all") - F.col("most.n"), F.col("weight") - F.col("most.w")).alias("others"),
+                blocks(F.col("most.n"), F.col("most.w")).alias("mains"),
+                ((F.col("all") <= BLOCK) & (F.col("weight") <= BLOCK_WEIGHT)).alias("small"))
     )
 
     def tile(kind: str, i: Column, j: Column, side: Column) -> Column:
@@ -384,19 +395,19 @@ def near_classes(
         )
         .select(F.monotonically_increasing_id().alias("node"), "digest", "order", "copies", "s.bands", "s.sketch", "s.weight")
     )
-    buckets = nodes.filter("weight > 0").select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = nodes.filter("weight > 0").select("node", "weight", F.posexplode("bands").alias("band", "key"))
     # Every band draws its own representative of a bucket, so that a dense group is held together by many.
     turn = F.struct(F.xxhash64("node", "band").alias("draw"), "node")
     leaders = buckets.groupBy("band", "key").agg(F.min(turn).alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = durable(buckets.join(leaders, ["band", "key"]).select("band", "key", "node", F.col("leader.node").alias("leader")))
+    members = durable(buckets.join(leaders, ["band", "key"]).select("band", "key", "node", "weight", F.col("leader.node").alias("leader")))
     pairs = durable(
         members.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     )
     links = verify(pairs, nodes, rows, similarity)
     labels = components(links)
 
-    placed = members.select("band", "key", "node").join(labels, "node", "left").select(
-        "band", "key", "node", F.coalesce("label", "node").alias("label")
+    placed = members.select("band", "key", "node", "weight").join(labels, "node", "left").select(
+        "band", "key", "node", "weight", F.coalesce("label", "node").alias("label")
     )
     open_ = durable(promising(_tiles(placed, nodes.select("node", "sketch")), sketch_cut(similarity)))
     if not open_.isEmpty():

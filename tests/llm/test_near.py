@@ -68,6 +68,25 @@ def test_a_dense_cloud_equals_all_pairs(spark):
     assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == all_pairs(texts)
 
 
+def test_tiles_are_bounded_in_shingles(spark):
+    rows = [(0, 7, k, 100_000, max(k, 9)) for k in range(60)]
+    members = spark.createDataFrame(rows, "band int, key long, node long, weight long, label long")
+    tiles = near._tiles(members, members.selectExpr("node", "binary('') AS sketch")).collect()
+    assert max(len(t["held"]) for t in tiles) * 100_000 < 4 * near.BLOCK_WEIGHT < 60 * 100_000
+    pairs = Counter()
+    for t in tiles:
+        node, label, side = (np.array([h[k] for h in t["held"]]) for k in ("node", "label", "side"))
+        pairs.update(tuple(sorted((int(node[i]), int(node[j])))) for i, j in zip(*np.nonzero(near._allowed(label, side))))
+    assert pairs == Counter((a, b) for a in range(60) for b in range(a + 1, 60) if max(a, 9) != max(b, 9))
+
+
+def test_classes_do_not_depend_on_the_weight_of_blocks(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before = {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()}
+    monkeypatch.setattr(near, "BLOCK_WEIGHT", 50)
+    assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == before
+
+
 def test_small_tables_equal_all_pairs(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
