@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, quality, token_rollup, toxicity, url_rules
+from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, quality, token_rollup, toxicity, url_rules, whitening
 from latewatch.llm.inputs import table
 from latewatch.session import ensure_checkpoint_dir
 
@@ -80,3 +80,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted"
     )
+
+
+@register()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.vectors(table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(vectors, whitening.fit(vectors))
