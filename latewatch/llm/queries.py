@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, quality, token_rollup, toxicity, url_rules, whitening
+from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, prefix_trie, quality, token_rollup, toxicity, url_rules, whitening
 from latewatch.llm.inputs import table
 from latewatch.session import ensure_checkpoint_dir
 
@@ -86,3 +86,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = whitening.vectors(table(spark, sf_dir, "embeddings"))
     return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@register(prefix_trie.ORACLE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
