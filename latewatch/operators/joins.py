@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latewatch.session import durable
+
 # A side is broadcast only up to both bounds.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -45,9 +47,12 @@ def sized(**sides: DataFrame) -> dict[str, DataFrame]:
 
 
 def hot_keys(fact: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Hashes of all keys that more than ``share`` of the rows have, and of some rarer ones: at most ``1 / share``."""
+    """Hashes of all keys that more than ``share`` of the rows have, and of some rarer ones: at most ``1 / share``.
+
+    Stored, because the rarer ones may differ from run to run and both sides of a join have to read the same list.
+    """
     found = fact.select(F.xxhash64(*keys).alias("_hash")).stat.freqItems(["_hash"], share)
-    return found.select(F.explode("_hash_freqItems").alias("_hash"), F.lit(True).alias("_hot"))
+    return durable(found.select(F.explode("_hash_freqItems").alias("_hash"), F.lit(True).alias("_hot")))
 
 
 def join_dimension(
@@ -69,10 +74,11 @@ def join_dimension(
     if fits_broadcast(side) if fits is None else fits:
         return fact.join(F.broadcast(side), key, how)
     keys = [key] if isinstance(key, str) else list(key)
-    copies = salted(side, keys, F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0)), hot_keys(fact, keys))
+    found = hot_keys(fact, keys)
+    copies = salted(side, keys, F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0)), found)
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
     return (
-        salted(fact, keys, spread, F.lit(0), hot_keys(fact, keys))
+        salted(fact, keys, spread, F.lit(0), found)
         .join(copies.withColumn("_salt", F.explode("_salt")), [*keys, "_salt"], how)
         .drop("_salt")
     )
