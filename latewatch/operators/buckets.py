@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def bucket_rare(
     df: DataFrame, column: str = "operator", top: int = 25, name: str | None = None, other: str = "OTHER"
 ) -> DataFrame:
-    """Keep the ``top`` most frequent values of a column, call all others (and NULL) ``other``.
+    """Keep the ``top`` most frequent values of a column, as text, and call all others (and NULL) ``other``.
 
     The kept values are at most ``top`` rows and are joined by broadcast.
     """
@@ -19,7 +19,7 @@ def bucket_rare(
         .agg(F.count("*").alias("_n"))
         .orderBy(F.desc("_n"), F.asc_nulls_first(column))
         .limit(top)
-        .select(column, F.col(column).alias(name))
+        .select(column, F.col(column).cast("string").alias(name))
     )
     return df.join(F.broadcast(kept), column, "left").select(
         *df.columns, F.coalesce(F.col(name), F.lit(other)).alias(name)

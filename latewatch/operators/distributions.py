@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.operators.ranking import quantile_rows, quantiles_of, ranked_values, value_counts
-from latewatch.session import durable
+from latewatch.operators.ranking import quantile_rows, quantiles_of, ranked_values
+from latewatch.session import staged
 
 
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -18,36 +19,32 @@ def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.when(low < high, inside).when(value.isNotNull(), F.lit(1))
 
 
-def value_range(df: DataFrame, column: str) -> DataFrame:
-    """Smallest and largest value as one struct."""
-    number = F.col(column).cast("double")
-    return df.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high")).alias("range"))
-
-
 def histogram(
     df: DataFrame, column: str, bins: int = 40, low: float | None = None, high: float | None = None
 ) -> DataFrame:
     """Rows per equal-width bin over the given or the found range: (bin, low_edge, high_edge, n).
 
     Every bin is there, empty ones with 0 (a range without width is one bin, no value at all no
-    bin). Values outside a given range, on either side, are not counted. The range is one row read
-    ahead of the counting pass; the counting shuffles one row per bin and task.
+    bin). Values outside a given range, on either side, are not counted. To find a range the values are stored
+    first (one number a row); the counting shuffles one row per bin and task.
     """
     number = F.col(column).cast("double")
-    values = df.select(number.alias("value")).filter(number.isNotNull() & ~F.isnan(number))
     if low is None or high is None:
-        span = value_range(values, "value")
+        # Read twice, so stored: what a value is parsed from is evaluated once, in a projection of its own.
+        stored = staged(df.select(number.alias("value")))
+        values = stored.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        found = values.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()  # one row
+        low, high = found.low, found.high
     else:
-        span = df.sparkSession.range(1).select(F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high")).alias("range"))
-    start, end = F.col("_range.low"), F.col("_range.high")
+        values = df.select(number.alias("value"))
+    start, end = F.lit(low).cast("double"), F.lit(high).cast("double")
     counted = (
-        values.withColumn("_range", span.scalar())
-        .filter(F.col("value").between(start, end))
+        values.filter(F.col("value").between(start, end))
         .groupBy(bin_number(F.col("value"), start, end, bins).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    last = F.when(start < end, F.lit(bins)).when(start == end, F.lit(1))
-    listed = span.select(F.col("range").alias("_range")).select("_range", F.explode(F.sequence(F.lit(1), last)).alias("bin"))
+    last = 0 if low is None else bins if low < high else 1 if low == high else 0
+    listed = df.sparkSession.range(1, last + 1).select(F.col("id").cast("int").alias("bin"))
     step = (end - start) / bins
     # At most ``bins`` rows on either side.
     return (
@@ -73,32 +70,61 @@ def centre_marks(df: DataFrame, column: str) -> DataFrame:
     return median.join(mean, "column_name").select("column_name", "n", "mean", F.col("q_0").alias("median"))
 
 
-def density(df: DataFrame, column: str, points: int = 200, bandwidth: float | None = None) -> DataFrame:
+# A kernel is 0, to a double's precision, this many bandwidths away.
+REACH = 9.0
+
+
+def density(
+    df: DataFrame, column: str, points: int = 200, bandwidth: float | None = None, bins_per_width: int | None = None
+) -> DataFrame:
     """Gaussian kernel density at ``points`` equally spaced places over the data's range.
 
     Bandwidth by Scott's rule unless given; without a spread (a constant column, a single row) there is no density: it is
-    NULL at every place. The kernel sum runs over distinct values weighted by their counts; every value meets the fixed
-    grid inside its own task and is summed there first.
+    NULL at every place. The kernel sum runs over distinct values weighted by their counts, and a value meets only the
+    places within reach. With ``bins_per_width`` values are first shared out, linearly, between the ends of
+    bins of that part of a bandwidth, so that the sum runs over bins and does not grow with the number of distinct values.
     """
-    counts = durable(value_counts(df, [column]))
-    # One row: everything the grid and the kernel width need. Squares are of deviations from the mean.
-    mean = counts.agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    away = F.col("value") - F.col("_mean")
-    facts = counts.withColumn("_mean", mean.scalar()).agg(
-        F.sum("n").alias("n"), F.sum(away * away * F.col("n")).alias("square"), F.min("value").alias("low"), F.max("value").alias("high")
+    values = staged(df.select(F.col(column).cast("double").alias("value"))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    # One row: everything the grid and the kernel width need. Deviations are from the mean, merged as they come.
+    facts = values.agg(
+        F.count("*").alias("n"), F.stddev("value").alias("spread"), F.min("value").alias("low"), F.max("value").alias("high")
+    ).first()
+    width = bandwidth or (facts.spread * facts.n**-0.2 if facts.spread else None)
+    places = df.sparkSession.range(points if facts.n else 0).select(F.col("id").cast("int").alias("point"))
+    if not facts.n or not width:
+        x = F.lit(facts.low).cast("double")
+        return places.select("point", x.alias("x"), F.lit(None).cast("double").alias("density")).orderBy("point")
+    low, step = F.lit(facts.low), (facts.high - facts.low) / (points - 1)
+    if bins_per_width:
+        at = (F.col("value") - low) * (bins_per_width / width)
+        ends = F.array(
+            F.struct(F.floor(at).alias("bin"), (F.floor(at) + 1 - at).alias("weight")),
+            F.struct((F.floor(at) + 1).alias("bin"), (at - F.floor(at)).alias("weight")),
+        )
+        shared = values.select(F.inline(ends)).groupBy("bin").agg(F.sum("weight").alias("weight"))
+        weights = shared.select((low + F.col("bin") * (width / bins_per_width)).alias("value"), "weight")
+    else:
+        weights = values.groupBy("value").agg(F.count("*").alias("weight"))
+    if step:
+        first = F.greatest(F.ceil((F.col("value") - low - REACH * width) / step), F.lit(0))
+        last = F.least(F.floor((F.col("value") - low + REACH * width) / step), F.lit(points - 1))
+        near = F.when(first <= last, F.sequence(first, last))
+    else:
+        near = F.sequence(F.lit(0), F.lit(points - 1)).cast("array<bigint>")
+    z = (low + F.col("point") * step - F.col("value")) / width
+    summed = (
+        weights.select("value", "weight", F.explode(near).alias("point"))
+        .groupBy("point")
+        .agg(F.sum(F.col("weight") * F.exp(z * z * -0.5)).alias("total"))
     )
-    spread = F.sqrt(F.try_divide(F.col("square"), F.col("n") - 1))
-    width = F.lit(float(bandwidth)) if bandwidth else spread * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    frame = facts.select(F.struct("n", "low", "high", width.alias("width")).alias("frame"))
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    spaced = counts.select("value", F.col("n").alias("weight"), frame.scalar().alias("_f"), grid)
-    place = F.col("_f.low") + (F.col("_f.high") - F.col("_f.low")) * F.col("point") / F.lit(points - 1)
-    z = F.try_divide(place - F.col("value"), F.col("_f.width"))
-    kernel = F.col("weight") * F.exp(z * z * -0.5)
-    scale = F.first(F.col("_f.n") * F.col("_f.width")) * F.sqrt(2 * F.pi())
+    # One row a place on either side.
     return (
-        spaced.groupBy("point")
-        .agg(F.first(place).alias("x"), F.try_divide(F.sum(kernel), scale).alias("density"))
+        places.join(F.broadcast(summed), "point", "left")
+        .select(
+            "point",
+            (low + F.col("point") * step).alias("x"),
+            (F.coalesce("total", F.lit(0.0)) / (facts.n * width * math.sqrt(2 * math.pi))).alias("density"),
+        )
         .orderBy("point")
     )
 
@@ -171,5 +197,4 @@ __all__: Sequence[str] = (
     "joint_histogram",
     "normal_places",
     "normal_quantile_points",
-    "value_range",
 )

@@ -9,8 +9,8 @@ from latewatch import functions as fn
 from latewatch.schema import DIMENSION_IDS, FEATURE_COLUMNS
 
 
-def derive_features(raw: DataFrame) -> DataFrame:
-    """Clean and type every used column of the raw records.
+def derive_features(raw: DataFrame, *kept: str) -> DataFrame:
+    """Clean and type every used column of the raw records; ``kept`` columns are passed on.
 
     Stacked projections, each deriving from the one before, so that no text is parsed twice and the
     code generated for a row stays small enough to be compiled. Surrogate ids come with the star join.
@@ -41,5 +41,5 @@ def derive_features(raw: DataFrame) -> DataFrame:
     }
     ids = set(DIMENSION_IDS.values())
     return dated.select(
-        *[derived.get(name, F.col(name)).alias(name) for name in FEATURE_COLUMNS if name not in ids]
+        *[derived.get(name, F.col(name)).alias(name) for name in FEATURE_COLUMNS if name not in ids], *kept
     )

@@ -28,6 +28,8 @@ CORRELATED = (
 )
 
 
+# Rows that the shift of a correlation is taken from.
+SHIFT_ROWS = 64
 # Statistics of a numeric column; skewness and excess kurtosis are those of the population.
 STATISTICS = {"mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max, "skew": F.skewness, "kurt": F.kurtosis}
 
@@ -152,17 +154,20 @@ def _sketched_fences(df: DataFrame, columns: Sequence[str], factor: float, error
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, fill: float = 0.0) -> DataFrame:
     """Pearson correlation of every pair of columns as (row_name, column_name, r).
 
-    Missing values count as ``fill``; a constant column gives NULL. One scan finds the means, a second
-    sums the products of the deviations: exact for any scale of values, and a plain sum per pair costs
-    a fraction of a running covariance. The number of pairs depends on the column list, not the data.
+    Missing values count as ``fill``; a constant column gives NULL. One scan adds up the products of deviations from a
+    shift, a middle value of the first rows: near enough to the data that no digits are lost for values far from zero, and a
+    plain sum per pair costs a fraction of a running covariance. The number of pairs depends on the column list, not the data.
     """
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill)).alias(c) for c in columns])
-    means = filled.agg(F.struct(*[F.avg(c).alias(c) for c in columns]))
-    centred = filled.withColumn("_mean", means.scalar()).select(
-        *[(F.col(c) - F.col(f"_mean.{c}")).alias(c) for c in columns]
-    )
+    head = filled.limit(SHIFT_ROWS).collect()  # a bounded number of rows
+    shift = {c: sorted(row[c] for row in head)[len(head) // 2] if head else 0.0 for c in columns}
+    moved = filled.select(*[(F.col(c) - F.lit(shift[c])).alias(c) for c in columns])
     pairs = list(combinations_with_replacement(columns, 2))
-    row = centred.agg(*[F.expr(f"sum(`{a}` * `{b}`) AS `{a}__{b}`") for a, b in pairs])
+    row = moved.agg(
+        F.count("*").cast("double").alias("_n"),
+        *[F.sum(c).alias(f"{c}__sum") for c in columns],
+        *[F.expr(f"sum(`{a}` * `{b}`) AS `{a}__{b}`") for a, b in pairs],
+    ).select(*[F.expr(f"`{a}__{b}` - `{a}__sum` * `{b}__sum` / _n AS `{a}__{b}`") for a, b in pairs])
     lines = [
         f"named_struct('a', '{a}', 'b', '{b}', 'ab', `{a}__{b}`, 'aa', `{a}__{a}`, 'bb', `{b}__{b}`)" for a, b in pairs
     ]

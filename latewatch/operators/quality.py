@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -35,8 +35,8 @@ def quality_filter(features: DataFrame, first_year: int = FIRST_YEAR, last_year:
     return features
 
 
-def quality_report(features: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
-    """Rows in, kept and dropped, and failures per rule, with their share; one pass."""
+def quality_measures(first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> dict[str, Column]:
+    """Rows in, kept and dropped, and failures per rule, as aggregates by name."""
     rules = quality_rules(first_year, last_year)
     timestamp_known = F.col("year").isNotNull()
     checks = {
@@ -46,12 +46,17 @@ def quality_report(features: DataFrame, first_year: int = FIRST_YEAR, last_year:
         "bad_year": ~timestamp_known | rules["year"],
     }
     kept = rules["incident_type"] & rules["record_id"] & rules["year"]
-    counts = {
+    return {
         "all": F.count(F.lit(1)),
         "kept": F.count_if(kept),
         "dropped": F.count_if(~F.coalesce(kept, F.lit(False))),
         **{name: F.count_if(~F.coalesce(check, F.lit(False))) for name, check in checks.items()},
     }
+
+
+def quality_report(features: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+    """Rows in, kept and dropped, and failures per rule, with their share; one pass."""
+    counts = quality_measures(first_year, last_year)
     row = features.agg(*[count.alias(name) for name, count in counts.items()])
     lines = [
         F.struct(
@@ -64,6 +69,18 @@ def quality_report(features: DataFrame, first_year: int = FIRST_YEAR, last_year:
     return row.select(F.inline(F.array(*lines)))
 
 
+def observed(
+    features: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, more: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, Observation]:
+    """The same rows, and the counts of ``quality_report`` (and ``more`` aggregates) as the next action passes over them.
+
+    The action should write the rows without a shuffle: a task that is run again then counts once.
+    """
+    counts = quality_measures(first_year, last_year) | dict(more or {})
+    seen = Observation()
+    return features.observe(seen, *[count.alias(name) for name, count in counts.items()]), seen
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the first in the stated order (make the order total).
 

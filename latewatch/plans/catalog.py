@@ -1218,3 +1218,7 @@ def _(spark, sf_dir):
         customer=table(spark, sf_dir, "customer"),
         nation=table(spark, sf_dir, "nation"),
     )
+
+
+# More queries are registered there.
+from latewatch.plans import loads  # noqa: E402, F401

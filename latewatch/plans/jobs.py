@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latewatch import functions as fn
@@ -16,34 +16,56 @@ from latewatch.ml import models as ml_models
 from latewatch.operators import metrics, profile, quality, ranking, split, star
 from latewatch.operators.features import derive_features
 from latewatch.plans import sql
-from latewatch.schema import DIMENSION_TABLES, FACT_INCIDENT, TABLES
+from latewatch.schema import DIMENSION_IDS, DIMENSION_TABLES, FACT_INCIDENT, TABLES
 from latewatch.session import durable, staged
 from latewatch.sources import writers
-from latewatch.sources.readers import read_table
+from latewatch.sources.readers import BROKEN, CAUSE, CAUSES, cause_of, read_table
+from latewatch.sources.versions import Store, Version, load_new
 
 
-def ingest(raw: DataFrame, out: str, partition_by: Sequence[str] = (), sample_rows: int = 2000) -> dict[str, int]:
+def ingest(
+    raw: DataFrame, out: str, partition_by: Sequence[str] = (), sample_rows: int = 2000, earlier: str | None = None
+) -> dict[str, int]:
     """Raw records to analysis table and dimensions under ``out``.
 
-    The raw records are read once, into a stored table of typed features. Rejection counts, dimension keys and ids come
-    from the columns of that table. Returns the row counts.
+    The raw records are read once, into a stored table of typed features; that job also counts what is kept, dropped and why.
+    Dimension keys and ids come from the columns of that table. Records read by ``read_checked_records`` are checked: broken
+    lines go to ``quarantine.parquet``, by cause, and are counted by cause. With ``earlier``, the folder of an earlier
+    ingest, the members of its dimensions keep their ids. Returns the row counts.
     """
-    features = staged(derive_features(raw))
-    accounts = {row.measure: row.n_rows for row in quality.quality_report(features).collect()}
+    spark = raw.sparkSession
+    checked = BROKEN in raw.columns
+    features = derive_features(raw.drop(BROKEN))
+    causes: dict[str, Column] = {}
+    if checked:
+        cause = cause_of(F.col(BROKEN), len(raw.columns) - 1)
+        raw = raw.withColumn(CAUSE, cause)
+        features = derive_features(raw, BROKEN, CAUSE)
+        causes = {f"broken: {name}": F.count_if(F.col(CAUSE) == name) for name in CAUSES}
+    features, seen = quality.observed(features, more=causes)
+    features = staged(features)
+    accounts = dict(seen.get)
+    if checked:
+        features.filter(F.col(CAUSE).isNotNull()).select(F.col(BROKEN).alias("line"), CAUSE).write.mode("overwrite").partitionBy(
+            CAUSE
+        ).parquet(f"{out}/quarantine.parquet")
+        features = features.filter(F.col(CAUSE).isNull()).drop(BROKEN, CAUSE)
     clean = quality.quality_filter(features)
-    dimensions = star.build_dimensions(clean)
+    stored = {key: read_table(spark, f"{earlier}/dim_{key}.parquet") for key in DIMENSION_IDS} if earlier else None
+    calendar = read_table(spark, f"{earlier}/dim_calendar.parquet") if earlier else None
+    dimensions = star.build_dimensions(clean, stored=stored)
     writers.write_table(star.feature_table(clean, dimensions), f"{out}/incidents.parquet", partition_by)
-    stored = read_table(raw.sparkSession, f"{out}/incidents.parquet")
+    written = read_table(spark, f"{out}/incidents.parquet")
     writers.write_tables(
         {
             **{f"dim_{name}": table for name, table in dimensions.items()},
-            "dim_calendar": star.calendar_dimension(stored),
-            "dim_date": star.date_dimension(stored),
+            "dim_calendar": durable(star.calendar_dimension(written, stored=calendar)),
+            "dim_date": star.date_dimension(written),
         },
         out,
     )
     if sample_rows:
-        writers.write_sample(stored, f"{out}/sample.csv", sample_rows)
+        writers.write_sample(written, f"{out}/sample.csv", sample_rows)
     return accounts
 
 
@@ -122,6 +144,34 @@ def load_relational(incidents: DataFrame, dimensions: Mapping[str, DataFrame], o
     return {name: table.count() for name, table in stored.items()}
 
 
+def add_incidents(clean: DataFrame, folder: str) -> dict[str, int]:
+    """Add usable records to the versioned relational tables under ``folder``, in one commit; returns the rows added.
+
+    A record whose id is stored is left out, whatever its other values: the first one wins. Members of dimensions keep their
+    ids, new members get the next ones. Raises, and leaves the stored version as it was, when a fact row has no parent.
+    """
+    store = Store(clean.sparkSession, folder)
+
+    def frames(version: Version) -> dict[str, DataFrame]:
+        stored = {t.name.removeprefix("dim_"): store.table(t, version) for t in DIMENSION_TABLES if t.name != "dim_date"}
+        dimensions = star.build_dimensions(clean, stored=stored)
+        rows = star.feature_table(clean, dimensions)
+        named = {f"dim_{name}": table for name, table in dimensions.items()}
+        return {**named, "dim_date": star.date_dimension(rows), "fact_incident": star.fact_table(rows)}
+
+    return load_new(store, TABLES, frames, _no_orphans)
+
+
+def _no_orphans(new: Mapping[str, DataFrame], stored: Mapping[str, DataFrame]) -> None:
+    parents = {
+        column: (stored[name].unionByName(new[name]), target) for column, (name, target) in FACT_INCIDENT.references.items()
+    }
+    counts = quality.orphan_counts(new[FACT_INCIDENT.name], parents).collect()  # one row per foreign key
+    broken = {row.foreign_key: row.n_orphans for row in counts if row.n_orphans}
+    if broken:
+        raise ValueError(f"fact rows without parent: {broken}")
+
+
 def star_queries(
     spark: SparkSession, folder: str, min_incidents: int = 5000, year: int = 2019, operator: str | None = None
 ) -> dict[str, DataFrame]:

@@ -41,6 +41,51 @@ records AS (
     FROM events
 )"""
 
+# The harder records: other texts for five of the columns.
+HARD_RECORDS = r"""
+records AS (
+    SELECT
+        CAST(event_id % 10 + 2014 AS VARCHAR) || '-' || CAST(event_id % 10 + 2015 AS VARCHAR) AS year_text,
+        CAST(event_id AS VARCHAR) AS id_text,
+        CASE event_id % 4 WHEN 0 THEN 'Special Ed AM Run' WHEN 1 THEN 'Special Ed PM Run'
+             WHEN 2 THEN 'General Ed AM Run' ELSE 'Pre-K/EI' END AS run_text,
+        CASE WHEN event_id % 60 <> 0 THEN
+             CASE event_id % 5 WHEN 0 THEN 'Heavy Traffic' WHEN 1 THEN 'Mechanical Problem'
+                  WHEN 2 THEN ' Flat Tire ' WHEN 3 THEN 'Weather Conditions' ELSE 'Other' END
+        END AS reason_text,
+        CASE WHEN event_id % 101 = 0 THEN 'not a date'
+             WHEN event_id % 97 = 0 THEN '01/01/1900 07:00:00 AM'
+             ELSE strftime(ts - to_days(CAST(event_id % 3650 AS INT)), '%m/%d/%Y %I:%M:%S %p') END AS when_text,
+        CASE event_id % 6 WHEN 0 THEN 'all   BOROUGHS' WHEN 1 THEN 'nassau county' WHEN 2 THEN ' ' WHEN 3 THEN NULL
+             WHEN 4 THEN 'o''neill PARK' ELSE 'Queens' END AS area_text,
+        CASE WHEN event_id % 2 = 0 THEN 'Main Line Corp. (B1234)' WHEN event_id % 10 = 1 THEN 'L&M .'
+             WHEN event_id % 10 = 3 THEN 'O''Brien''s Coaches, Inc., (B' || CAST(user_id AS VARCHAR) || ') '
+             WHEN event_id % 30 = 5 THEN NULL WHEN event_id % 30 = 15 THEN ' (B77) '
+             ELSE '  Line ' || CAST(user_id AS VARCHAR) || ' S.A.' END AS company_text,
+        CASE event_id % 14 WHEN 0 THEN '200-400 MIN' WHEN 1 THEN '1.5 HOURS' WHEN 2 THEN '20-30-40' WHEN 3 THEN '15-0'
+             WHEN 4 THEN '-5' WHEN 5 THEN '  45  ' WHEN 6 THEN '1 hr 30 min' WHEN 7 THEN 'none'
+             WHEN 8 THEN '' WHEN 9 THEN '0 - 2 hrs' WHEN 10 THEN '999999999999999999999'
+             WHEN 11 THEN NULL WHEN 12 THEN '16min'
+             ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(floor(value) AS BIGINT) + 7 AS VARCHAR)
+             END AS delay_text,
+        CASE event_id % 6 WHEN 0 THEN ' 7 ' WHEN 1 THEN '3.9' WHEN 2 THEN '99999999999' WHEN 3 THEN '' WHEN 4 THEN NULL
+             ELSE CAST(user_id % 70 AS VARCHAR) END AS students_text,
+        CASE WHEN event_id % 2 = 0 THEN 'Yes' ELSE 'No' END AS schools_text,
+        CASE WHEN event_id % 3 = 0 THEN 'YES ' ELSE 'No' END AS parents_text,
+        CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'yes' ELSE 'no' END AS alerted_text,
+        CASE WHEN event_id % 211 = 0 THEN 'Unknown' WHEN event_type = 'error' THEN 'Breakdown'
+             ELSE 'Running Late' END AS type_text,
+        CASE event_id % 5 WHEN 0 THEN ' pre-k ' WHEN 1 THEN NULL WHEN 2 THEN 'EXPRESS' ELSE 'School-Age' END AS age_text
+    FROM events
+)"""
+
+
+def hard(prefix: str) -> str:
+    """The same expressions over the harder records, whose counts of students have no fraction."""
+    counted = "try_cast(CASE WHEN trim(students_text) NOT LIKE '%.%' THEN trim(students_text) END AS INT)"
+    return prefix.replace(RECORDS, HARD_RECORDS).replace("try_cast(students_text AS INT)", counted)
+
+
 FEATURES = (
     RECORDS
     + r""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from latewatch.schema import RAW_COLUMNS
@@ -44,12 +46,34 @@ RECORD_RULES = {
 }
 
 
-def records_from_events(events: DataFrame) -> DataFrame:
+# The same with half of all rows under one name, marks and quotes in names, and delays that are hard to read.
+HARD_RULES = RECORD_RULES | {
+    "Bus_Company_Name": """
+        CASE WHEN event_id % 2 = 0 THEN 'Main Line Corp. (B1234)' WHEN event_id % 10 = 1 THEN 'L&M .'
+             WHEN event_id % 10 = 3 THEN concat("O'Brien's Coaches, Inc., (B", user_id, ") ")
+             WHEN event_id % 30 = 5 THEN NULL WHEN event_id % 30 = 15 THEN ' (B77) '
+             ELSE concat('  Line ', user_id, ' S.A.') END""",
+    "How_Long_Delayed": """
+        CASE event_id % 14 WHEN 0 THEN '200-400 MIN' WHEN 1 THEN '1.5 HOURS' WHEN 2 THEN '20-30-40' WHEN 3 THEN '15-0'
+                           WHEN 4 THEN '-5' WHEN 5 THEN '  45  ' WHEN 6 THEN '1 hr 30 min' WHEN 7 THEN 'none'
+                           WHEN 8 THEN '' WHEN 9 THEN '0 - 2 hrs' WHEN 10 THEN '999999999999999999999'
+                           WHEN 11 THEN NULL WHEN 12 THEN '16min' ELSE concat(floor(value), '-', floor(value) + 7) END""",
+    "Boro": """
+        CASE event_id % 6 WHEN 0 THEN 'all   BOROUGHS' WHEN 1 THEN 'nassau county' WHEN 2 THEN ' ' WHEN 3 THEN NULL
+                          WHEN 4 THEN "o'neill PARK" ELSE 'Queens' END""",
+    "School_Age_or_PreK": "CASE event_id % 5 WHEN 0 THEN ' pre-k ' WHEN 1 THEN NULL WHEN 2 THEN 'EXPRESS' ELSE 'School-Age' END",
+    "Number_Of_Students_On_The_Bus": """
+        CASE event_id % 6 WHEN 0 THEN ' 7 ' WHEN 1 THEN '3.9' WHEN 2 THEN '99999999999' WHEN 3 THEN '' WHEN 4 THEN NULL
+                          ELSE cast(user_id % 70 AS string) END""",
+}
+
+
+def records_from_events(events: DataFrame, rules: Mapping[str, str] = RECORD_RULES) -> DataFrame:
     """Event table to raw incident records (21 string columns)."""
-    return events.selectExpr(*[f"{RECORD_RULES.get(c, 'cast(NULL AS string)')} AS {c}" for c in RAW_COLUMNS])
+    return events.selectExpr(*[f"{rules.get(c, 'cast(NULL AS string)')} AS {c}" for c in RAW_COLUMNS])
 
 
-def incident_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incident_records(spark: SparkSession, sf_dir: str, rules: Mapping[str, str] = RECORD_RULES) -> DataFrame:
     """Raw incident records over the event table of a data folder."""
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    return records_from_events(fill_cores(read_table(spark, f"{sf_dir}/events.parquet", columns)))
+    return records_from_events(fill_cores(read_table(spark, f"{sf_dir}/events.parquet", columns)), rules)

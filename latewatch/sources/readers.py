@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from latewatch.schema import RAW_SCHEMA
 
@@ -37,6 +37,35 @@ def read_records(
     )
 
 
+# The text of a line that does not have the fields of its table, and why it was set aside.
+BROKEN, CAUSE = "_broken", "cause"
+CAUSES = ("unclosed quote", "too few fields", "too many fields", "unreadable")
+
+
+def read_checked_records(
+    spark: SparkSession, *candidates: str, schema: StructType = RAW_SCHEMA, multi_line: bool = False, header: bool = True
+) -> DataFrame:
+    """Raw CSV records as ``read_records`` reads them, with the whole text of each broken line in ``_broken``.
+
+    Whole lines are parsed whatever columns are asked for, because a pruned parse cannot count fields.
+    """
+    path = candidates[0] if len(candidates) == 1 else first_existing(spark, candidates)
+    return (
+        spark.read.schema(StructType([*schema.fields, StructField(BROKEN, StringType())]))
+        .options(header=header, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line)
+        .options(columnNameOfCorruptRecord=BROKEN, columnPruning=False)
+        .csv(path)
+    )
+
+
+def cause_of(line: Column, fields: int) -> Column:
+    """Why a line of a table with so many fields is broken; NULL for a line that is not."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    cause = F.when(bare.contains('"'), CAUSES[0]).when(found < fields, CAUSES[1]).when(found > fields, CAUSES[2])
+    return F.when(line.isNotNull(), cause.otherwise(CAUSES[3]))
+
+
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan; with ``columns`` only those are read."""
     table = spark.read.parquet(path)

@@ -39,6 +39,17 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
         table.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """A table of the session's catalogue whose rows lie in ``buckets`` files by the hash of ``keys``, sorted in each.
+
+    Tables bucketed alike are joined, and a bucketed table is grouped, on those keys without a shuffle. The rows are
+    brought to their buckets once, so that each bucket is one file, under ``path`` or in the warehouse. Returns the stored table.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_sample(df: DataFrame, path: str, rows: int = 2000, order_by: Sequence[str] = ("busbreakdown_id",)) -> None:
     """The first rows in a stated order as one CSV file with header."""
     df.orderBy(*order_by).limit(rows).coalesce(1).write.mode("overwrite").csv(path, header=True)
