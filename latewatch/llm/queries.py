@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bag_minhash, bpe, exact_dedup, licenses, mixing, pii, prefix_trie, quality, token_rollup, toxicity, url_rules, whitening
+from latewatch.llm import bag_minhash, bpe, exact_dedup, jaccard_join, licenses, mixing, pii, prefix_trie, quality, token_rollup
+from latewatch.llm import toxicity, url_rules, whitening
 from latewatch.llm.inputs import table
 from latewatch.session import ensure_checkpoint_dir
 
@@ -82,6 +83,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
 @register()
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = whitening.vectors(table(spark, sf_dir, "embeddings"))
