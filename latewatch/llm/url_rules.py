@@ -5,8 +5,9 @@ as whole tokens. The index holds each rule once, under that token of its own whi
 into tokens; its tokens fetch the candidate rules, and only those run their expressions. A host rule such as
 ``net/es/`` is a rule of the same kind: its expression fits the host and its subdomains and the beginning of the path.
 
-The rules are a list in the program (at most ``MOST_RULES``), so the index is one constant of the plan: the judging
-is one projection over the column of urls, without a shuffle, a join or Python.
+The rules are a list in the program, of any length, so the index is one constant of the plan: a hash table, as an array of
+buckets by the CRC-32 of the token, where a token of a url costs one look-up however many rules there are. The judging is one
+projection over the column of urls, without a shuffle, a join or Python.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no candidates; null ids pass
 through; repeated rows are judged alike; an empty table gives an empty result; other columns are not read.
@@ -16,13 +17,13 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_RULES = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _TOKEN = re.compile("[a-z0-9]+")
@@ -82,6 +83,17 @@ def index_rules(rules: tuple[Rule, ...]) -> dict[str, list[Rule]]:
     return dict(index)
 
 
+def hash_table(index: dict[str, list[Rule]]) -> list[list[dict]]:
+    """Rules in buckets by the CRC-32 of their token; the number of buckets is a power of two, twice that of tokens at least."""
+    table: list[list[dict]] = [[] for _ in range(1 << (2 * len(index)).bit_length())]
+    for token, held in index.items():
+        table[zlib.crc32(token.encode()) & (len(table) - 1)] += [
+            {"token": token, "h": r.host_rule, "b": r.verdict == "block", "n": len(r.name), "name": r.name, "verdict": r.verdict, "pattern": r.pattern}
+            for r in held
+        ]
+    return table
+
+
 def url_part(url: Column, group: int) -> Column:
     return F.coalesce(F.regexp_extract(url, PARTS, group), F.lit(""))
 
@@ -98,16 +110,16 @@ def judge_urls(
     The longest host rule that fits decides; else a pattern rule that fits (block before allow, then the longest
     name), told in ``pattern_rule``; else ``default``.
     """
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} are held as a constant")
-    index = {
-        token: [{"h": r.host_rule, "b": r.verdict == "block", "n": len(r.name), "name": r.name, "verdict": r.verdict, "pattern": r.pattern} for r in held]
-        for token, held in index_rules(rules).items()
-    }
+    table = hash_table(index_rules(rules))
     known = F.from_json(
-        F.lit(json.dumps(index)),
-        "map<string,array<struct<h: boolean, b: boolean, n: int, name: string, verdict: string, pattern: string>>>",
+        F.lit(json.dumps(table)),
+        "array<array<struct<token: string, h: boolean, b: boolean, n: int, name: string, verdict: string, pattern: string>>>",
     )
+
+    def held_under(token: Column) -> Column:
+        place = F.crc32(token.cast("binary")).bitwiseAND(F.lit(len(table) - 1)).cast("int")
+        return F.filter(F.get(known, place), lambda r: r["token"] == token)
+
     parts = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).cast("string").alias("url")).select(
         "page_id",
         F.translate(url_part(F.col("url"), 1), UPPER, LOWER).alias("host"),
@@ -116,7 +128,7 @@ def judge_urls(
     subject = F.concat("host", "path")
     # Splitting leaves an empty token at most once; it fetches the rules without a literal.
     tokens = F.array_union(F.split(F.translate(subject, UPPER, LOWER), "[^a-z0-9]+"), F.array(F.lit("")))
-    candidates = F.flatten(F.filter(F.transform(tokens, lambda t: F.try_element_at(known, t)), lambda held: held.isNotNull()))
+    candidates = F.flatten(F.transform(tokens, held_under))
     fitting = F.filter(candidates, lambda r: F.regexp_like(F.col("subject"), r["pattern"]))
     judged = parts.withColumn("subject", subject).withColumn("fitting", fitting)
     of_hosts = F.array_max(F.transform(F.filter("fitting", lambda r: r["h"]), lambda r: F.struct(r["n"], r["name"], r["verdict"])))

@@ -1,5 +1,7 @@
 """Queries with a SQL statement, on the small tables and on tricky rows."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -43,6 +45,24 @@ def test_urls_equal_statement(spark):
     assert url_rules.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_a_hundred_thousand_rules(spark):
+    """Against every rule tried by comparing strings: hosts and paths of rules are drawn from few parts, so that many fit."""
+    rng = random.Random(12)
+    names = {f"{rng.choice('abcdefgh')}{rng.randrange(9000)}.{rng.choice(['com', 'net'])}/{rng.choice(['', 'en/', 'es/x/'])}" for _ in range(140_000)}
+    rules = [(n, rng.choice(["allow", "block"])) for n in sorted(names)[:99_000]] + [(f"t{k}.org/", "block") for k in range(1000)]
+    urls = [f"http://{rng.choice(['', 'www.', 'w.w.'])}{rng.choice('abcdefgh')}{rng.randrange(9000)}.{rng.choice(['com', 'net'])}/{rng.choice(['', 'en/q', 'es/x/'])}"
+            for _ in range(300)] + [f"https://t{k}.org/" for k in range(995, 1005)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = url_rules.judge_urls(pages, tuple(url_rules.host_rule(*r) for r in rules))
+    expected = {}
+    for k, url in enumerate(urls):
+        host, path = url.split("://")[1].split("/", 1)
+        fits = [(len(n), n, v) for n, v in rules if (host == n.split("/")[0] or host.endswith("." + n.split("/")[0])) and ("/" + path).startswith("/" + n.split("/", 1)[1])]
+        expected[k] = max(fits)[1:] if fits else (None, "allow")
+    assert {r["page_id"]: (r["rule"], r["verdict"]) for r in judged.collect()} == expected
+    assert sum(v[0] is not None for v in expected.values()) > 100
+
+
 def test_index_takes_the_rarest_token():
     index = url_rules.index_rules(url_rules.BASE_RULES)
     assert {t: [r.name for r in held] for t, held in index.items()} == {
