@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latewatch.operators.quality import first_per_key
+
 # Java and RE2 read this class alike: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,6 +41,18 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def one_row_per_id(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``text`` and the columns of ``chosen`` (doc_id, ...; a bounded number of rows) of the documents chosen, one row each.
+
+    Of rows that repeat an id the one with the smallest digest of its text counts; each task passes on one at most, so
+    that an id that very many rows have neither fills a task nor multiplies the sample.
+    """
+    found = texts(docs).join(F.broadcast(chosen), "doc_id")
+    return first_per_key(found.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256)), ["doc_id"], ["digest"]).select(
+        "text", *[c for c in chosen.columns if c != "doc_id"]
+    )
+
+
 class TaskCache(dict):
     """A cache that each task fills for itself; it travels empty."""
 

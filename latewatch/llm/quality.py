@@ -1,9 +1,9 @@
 """Quality rules: counts of the whole text, and a calibrated classifier over hashed n-grams.
 
-The classifier is a logistic regression over hashed single words, word pairs and byte 4-grams, as shares of the
-text's n-grams. It is fitted on labelled rows (column quality) whose ``crc32(doc_id) mod 4`` is 0 or 1, and calibrated
+The classifier is a logistic regression over hashed single words, word pairs and character 4-grams (code points, whatever
+their length in bytes), as shares of the text's n-grams. It is fitted on labelled rows (column quality) whose ``crc32(doc_id) mod 4`` is 0 or 1, and calibrated
 (Platt's sigmoid) on those where it is 3; the quarter where it is 2 stays unseen. At most ``most_rows`` labelled rows
-(those with the smallest hash of the id) are used; their n-gram counts come to the driver, some 10 kB a row. Texts are
+(those with the smallest hash of the id; of rows that repeat an id one) are used; their n-gram counts come to the driver, some 10 kB a row. Texts are
 scored whole, in Arrow batches, a few MB at a time, against a fixed threshold; the weights are a broadcast of
 ``4 * 2 ** BITS`` bytes. There is no shuffle of texts.
 
@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.inputs import texts
-from latewatch.llm.words import BLANK, U64, Words, scramble, slices, words
+from latewatch.llm.inputs import one_row_per_id, texts
+from latewatch.llm.words import BLANK, PLACES, U64, Words, scramble, slices, words
 from latewatch.session import durable
 
 BITS = 16
@@ -81,18 +81,31 @@ def base_counts(found: Words, hashes: np.ndarray) -> list[np.ndarray]:
     ]
 
 
+GRAM = (PLACES[8], PLACES[9], PLACES[10], PLACES[11])
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each character of UTF-8 begins, and a number of its own for each (its bytes, first one lowest)."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    lengths = np.diff(np.append(starts, len(data)))
+    points = data[starts].astype(np.uint64)
+    for k in range(1, int(lengths.max(initial=1))):
+        longer = np.flatnonzero(lengths > k)
+        points[longer] |= data[starts[longer] + k].astype(np.uint64) << U64(8 * k)
+    return starts, points
+
+
 def ngrams(found: Words, hashes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Hashed features of all texts: (feature, text) of words, word pairs and byte 4-grams, each 2 ** BITS apart by salt."""
+    """Hashed features of all texts: (feature, text) of words, word pairs and character 4-grams, each 2 ** BITS apart by salt."""
     shift = U64(64 - BITS)
     pairs, pair_of, _ = found.runs(hashes, 2, short=False)
     out = [(scramble(hashes) >> shift, found.text_of), (scramble(pairs + U64(1)) >> shift, pair_of)]
-    data = found.data
-    if len(data) >= 4:
-        wide = data.astype(np.uint32)
-        grams = wide[:-3] | (wide[1:-2] << 8) | (wide[2:-1] << 16) | (wide[3:] << 24)
-        of = np.repeat(np.arange(len(found.counts)), np.diff(found.offsets))
+    starts, points = code_points(found.data)
+    if len(points) >= 4:
+        grams = points[:-3] * GRAM[0] + points[1:-2] * GRAM[1] + points[2:-1] * GRAM[2] + points[3:] * GRAM[3]
+        of = np.searchsorted(found.offsets, starts, side="right") - 1
         inside = of[:-3] == of[3:]
-        out.append((((grams[inside] * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.uint64), of[:-3][inside]))
+        out.append((scramble(grams[inside]) >> shift, of[:-3][inside]))
     return out
 
 
@@ -184,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Model
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    sample = durable(docs.join(F.broadcast(chosen), "doc_id").select("text", "quality", "fold"))
+    sample = durable(one_row_per_id(docs, chosen))
     rows = sample.mapInArrow(_sparse_rows, "features binary, shares binary, quality int, fold int").collect()
     sides = []
     for folds in ((0, 1), (3,)):

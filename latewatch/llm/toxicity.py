@@ -8,7 +8,7 @@ agree beyond what the label explains (correlation of their votes given the label
 labels train a logistic regression over stem counts and patterns, and that linear classifier scores the texts.
 
 Only fitting looks at labels, and only at labelled rows whose ``crc32(doc_id) mod 4`` is not 2. The sample has at most
-``most_rows`` such rows (those with the smallest hash of the id); its vote table, a byte per row and stem, is what
+``most_rows`` such rows (those with the smallest hash of the id; of rows that repeat an id one); its vote table, a byte per row and stem, is what
 comes to the driver. Scoring reads every text whole, in Arrow batches, without a shuffle; the model is a few kB.
 
 Defined results: null and empty texts are scored as texts without any stem; repeated rows get equal scores; an empty
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.inputs import TaskCache, by_size, texts
+from latewatch.llm.inputs import TaskCache, by_size, one_row_per_id, texts
 from latewatch.session import durable
 
 # English insults that hold in any corpus.
@@ -150,7 +150,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_RO
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    return durable(docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    return durable(one_row_per_id(docs, chosen))
 
 
 def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +162,7 @@ def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         columns = [pa.array([c[k] for c in counts.values()], pa.int64()) for k in range(4)]
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *columns], names=names)
 
-    for batch in batches:
+    for batch in (p for b in batches for p in by_size(b, 0)):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             here: Counter = Counter()
             for word in _WORD.findall(text.lower()):
@@ -317,7 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Model
         return _default(FIXED_STEMS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in by_size(b, 0)):
             counts, rest = features(batch.column(0).to_pylist(), stems)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from latewatch.llm import bpe, licenses, pii, quality, toxicity
 from latewatch.llm.queries import QUERIES
@@ -288,3 +290,73 @@ def test_licenses_tricky_rows(tricky, no_docs):
     assert [(r["doc_id"], r["license"], r["confirmed"]) for r in rows] == [(12, "MIT", True)]
     assert (rows[0]["block_start"], rows[0]["block_end"]) == (0, 31)
     assert licenses.scan(no_docs).count() == 0
+
+
+# ---------------------------------------------------------------- the field of personal data, and repeated labelled ids
+
+
+@pytest.fixture(scope="module")
+def trained():
+    return pii.train()
+
+
+def test_the_field_on_held_out_rows(trained):
+    """Exact spans of sentences that it was not trained on: 0.9 of what is found is right, and 0.9 of what is there is found."""
+    right, found, there = Counter(), Counter(), Counter()
+    for words, labels in pii.labelled_rows(pii.MEASURING_SENTENCES, pii.MEASURING_PLAIN, 12, 99):
+        text, starts = " ".join(words), [0]
+        for w in words:
+            starts.append(starts[-1] + len(w) + 1)
+        true, k = set(), 0
+        while k < len(words):
+            end = k + 1
+            if labels[k]:
+                while end < len(words) and labels[end] == labels[k] + 1:
+                    end += 1
+                true.add((pii.LABELS[labels[k]][2:], starts[k], starts[end] - 1))
+            k = end
+        base, added = pii.find_spans([text], trained)[0]
+        for s in set(base) | set(added):
+            found[s[0]] += 1
+            right[s[0]] += s in true or s in base  # base spans are given
+        there.update(kind for kind, _, _ in true)
+    for kind in pii.KINDS:
+        assert there[kind] > 25 and right[kind] >= 0.9 * found[kind] and right[kind] >= 0.9 * there[kind], (kind, right, found, there)
+
+
+def test_the_field_adds_what_patterns_miss(trained):
+    def added(text):
+        return [(kind, text[a:b]) for kind, a, b in pii.find_spans([text], trained)[0][1]]
+
+    assert added("please write to anna at example dot org before noon") == [("email", "anna at example dot org")]
+    assert added("call (555) 123-4567 after five") == [("phone", "(555) 123-4567")]
+    assert added("ssn 123-45-6789 is not shown") == [] and added("the sum 4111-1111-1111-1112 was refused") == []
+    assert added("visa 4111-1111-1111-1112 was refused") == [("card", "4111-1111-1111-1112")]
+    assert added("card 4111.1111.1111.1111 was charged") == [("card", "4111.1111.1111.1111")]
+    assert added("we met at the red dot at noon") == [] and added("the phone rang at noon") == []
+
+
+def test_shapes_cover_whole_words():
+    assert pii.shape("a" * 100 + "1" * 30 + "B", False) == "adA" and pii.shape("ab12" * 3, True) == "ad2" * 3
+    assert pii.shape("a1" * 50, True) == "long ad" and pii.shape("a1" * 50 + "B", True) == "long Aad"
+
+
+def test_a_labelled_id_that_repeats_counts_once(spark):
+    """100,000 rows under one labelled id: the sample stays one row an id, whatever most_rows is."""
+    many = spark.range(100_000).selectExpr("7L AS doc_id", "concat('copy number ', id) AS text")
+    docs = many.unionByName(spark.createDataFrame([(8, "other text"), (9, "one more")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1, 1), (8, 0, 0), (9, 1, 1)], "doc_id long, quality int, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, 400).collect()
+    kept = {r["doc_id"] for r in labels.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    assert len(sample) == len(kept) and sum(r["text"].startswith("copy") for r in sample) == (7 in kept)
+    assert toxicity.labelled_sample(docs.repartition(5), labels, 400).collect() and quality.fit(docs, labels) is None
+    again = toxicity.labelled_sample(docs.repartition(11), labels, 400)
+    assert sorted(r["text"] for r in again.collect()) == sorted(r["text"] for r in sample)
+
+
+def test_characters_are_code_points():
+    text = "aé漢😀z"
+    starts, points = quality.code_points(np.frombuffer(text.encode(), np.uint8))
+    assert starts.tolist() == [0, 1, 3, 6, 10] and len(set(points.tolist())) == 5
+    assert [int(p).to_bytes(8, "little").rstrip(b"\0").decode() for p in points] == list(text)
+    assert quality.code_points(np.zeros(0, np.uint8))[0].size == 0
