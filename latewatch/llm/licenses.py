@@ -34,7 +34,10 @@ TEMPLATES = {
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "Software.",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -58,6 +61,74 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met:",
     ),
+    "BSD-2-Clause": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any "
+        "later version.",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
+        "it and redistribute it freely, subject to the following restrictions:",
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+        "and transmit the Software, and to prepare derivative works of the Software",
+    ),
+    "OFL-1.1": (
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    ),
+    "Artistic-2.0": (
+        "Licensed under the Artistic License 2.0.",
+    ),
+    "CDDL-1.0": (
+        "The contents of this file are subject to the terms of the Common Development and Distribution License (the \"License\"). "
+        "You may not use this file except in compliance with the License.",
+    ),
+    "WTFPL": (
+        "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is "
+        "allowed as long as the name is changed.",
+    ),
+    "EUPL-1.2": (
+        "Licensed under the EUPL, Version 1.2.",
+    ),
+    "MS-PL": (
+        "This license governs use of the accompanying software. If you use the software, you accept this license. If you do not "
+        "accept the license, do not use the software.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
@@ -73,6 +144,14 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
     "CC0-1.0": (
         "Dedicated to the public domain under CC0 1.0.",
     ),
@@ -83,6 +162,7 @@ LEAST_SAVED = 0.2
 MOST_DIFFERENT = 0.2
 
 _CUES = re.compile(CUES)
+_LONGEST_CUE = re.compile("(?i)all rights reserved")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BARE = re.compile(r"[^\w.]+|\.+$")
 _dictionaries = TaskCache()
@@ -95,7 +175,10 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
     for paragraph in re.split(r"(\n[\x20\t]*\n)", text):
         if _CUES.search(paragraph):
             places = [m.span() for m in _WORD.finditer(paragraph)]
-            hits = [k for k, (a, b) in enumerate(places) if _CUES.search(paragraph, a, min(b + 10, len(paragraph)))]
+            hits = [
+                k for k, (a, b) in enumerate(places)
+                if _CUES.search(paragraph, a, min(b + 10, len(paragraph))) or _LONGEST_CUE.match(paragraph, a)
+            ]
             at = 0
             while at < len(hits):
                 first = last = hits[at]

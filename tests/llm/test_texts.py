@@ -285,6 +285,25 @@ def test_every_license_of_a_block():
     assert len(list(licenses.blocks(f"{altered_apache} or {altered_mit}"))) == 1
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_a_license_with_altered_words(name):
+    """Each passage, word for word and, where it is long, with a word missing and one more, is told from all other licenses."""
+    for passage in licenses.TEMPLATES[name]:
+        words = passage.split()
+        texts = [f"Some header. {passage} And then other words."]
+        if len(words) >= 14:
+            texts.append(f"Some header. {' '.join(words[:5] + words[6:9] + ['really'] + words[9:])} And then other words.")
+        for text in texts:
+            found = [n for a, b in licenses.blocks(text) for n, _, _, ok in licenses.scan_block(text[a:b], licenses.TEMPLATES) if ok]
+            assert found == [name]
+
+
+def test_the_longest_cue_opens_a_block():
+    text = "one two three " + "x " * 200 + "Acme 2019. All rights reserved. " + "y " * 200
+    (a, b), = licenses.blocks(text)
+    assert "All rights reserved" in text[a:b] and len(text[a:b].split()) < 100
+
+
 def test_licenses_tricky_rows(tricky, no_docs):
     rows = licenses.scan(tricky).collect()
     assert [(r["doc_id"], r["license"], r["confirmed"]) for r in rows] == [(12, "MIT", True)]
