@@ -10,16 +10,14 @@ ascending order and a text stops once its time limit, set so that its registers
 Candidates. ``BANDS`` bands of ``ROWS`` registers; texts meet in a bucket if they agree on a band. At a similarity of
 0.8 a pair meets nowhere with a probability below 0.00005.
 
-Classes. Exact copies are one node. In every bucket each text is compared with one representative; components of the
-verified links come next. Only pairs of different components that share a bucket can still join anything: the members
-of such a bucket are laid out in blocks, and a tile of two blocks compares their sketches (a byte of each register) in
-numpy. Members with a partner that the sketch puts within five standard errors of the threshold get their whole texts, and
-the tile counts the shared shingles of all its pairs as one matrix product. Tiles tell only links that join something. So no
-bucket is expanded into rows of pairs. Of the links that the bands show between different classes, the sketch loses one at
-a similarity of 0.8 with a probability below 0.000002 (fewer than 78 of 125 registers agree), and fewer above it.
+Classes. Exact copies are one node. ``links`` compares each text with one other a round, exactly, then members of buckets
+that still hold several classes in tiles: by their sketches (a byte of each register) first, and pairs that the sketch puts within
+five standard errors of the threshold by their shared shingles, of all pairs of a tile as one matrix product. Of the links that
+the bands show between different classes, the sketch loses one at a similarity of 0.8 with a probability below 0.000002 (fewer
+than 78 of 125 registers agree), and fewer above it.
 
-Work: one pass over the texts for the signatures, one for the texts of candidates; everything else moves ids and sketches. No
-list of links, classes or fingerprints comes to the driver.
+Work: one pass over the texts for the signatures, one for the shingles of candidates; everything else moves ids, sketches and
+the shingles of pairs. No list of links, classes or fingerprints comes to the driver.
 
 Defined results: shingles are five words (a text of fewer words is one shingle); texts without words have no
 shingles: they are copies of each other if equal, else alone; null counts as empty; rows that repeat an id are judged
@@ -34,20 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latewatch.llm.exact_dedup import text_digest
-from latewatch.llm.graph import components
 from latewatch.llm.inputs import id_order, texts
+from latewatch.llm.links import LIGHT_BYTES, LIGHT_ROWS, classes, in_company, light, similar, stored_elements
 from latewatch.llm.words import PLACES, U64, scramble, slices, words
+from latewatch.operators.joins import fits_broadcast, join_dimension
 from latewatch.session import durable
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-BLOCK = 192
-#: Shingles of a block on average, so that a tile of long texts stays at some hundred MB.
-BLOCK_WEIGHT = 1 << 20
 #: Columns of the matrix of a tile that are counted at a time.
 COLUMNS = 1 << 15
 
@@ -156,179 +152,35 @@ def sign(rows: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- links
 
 
-def overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Weighted Jaccard similarity of the shingle multisets of texts side by side."""
-    sides = []
-    for column in (left, right):
-        parts, done = [], 0
-        for first, last, data, offsets in slices(column):
-            hashes, of = shingle_hashes(data, offsets)
-            parts.append((hashes, of + first))
-            done = last
-        sides.append([np.concatenate(x) for x in zip(*parts)] if done else [np.zeros(0, np.uint64), np.zeros(0, np.int64)])
-    keys = np.concatenate([s[0] for s in sides])
-    of = np.concatenate([s[1] for s in sides])
-    side = np.concatenate([np.zeros(len(sides[0][0]), np.int64), np.ones(len(sides[1][0]), np.int64)])
-    order = np.lexsort((keys, of))
-    keys, of, side = keys[order], of[order], side[order]
-    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])])) if len(keys) else np.zeros(0, np.int64)
-    if not len(first):
-        return np.zeros(len(left))
-    right_count = np.add.reduceat(side, first)
-    left_count = np.diff(np.append(first, len(keys))) - right_count
-    n = len(left)
-    shared = np.bincount(of[first], np.minimum(left_count, right_count), n)
-    return shared / np.maximum(np.bincount(of[first], np.maximum(left_count, right_count), n), 1)
-
-
-def node_texts(wanted: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored ``node, text`` of the nodes wanted (one column, distinct).
-
-    Of exact copies each task passes on one, so that a text that very many rows have does not meet in one task.
-    """
-    first = Window.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last())
-    return durable(
-        rows.withColumn("place", F.row_number().over(first))
-        .filter("place = 1")
-        .join(wanted.join(nodes.select("node", "digest"), "node").hint("shuffle_hash"), "digest")
-        .select("node", "text")
-    )
-
-
-def verify(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Stored ``a, b`` of those pairs of nodes whose whole texts are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    held = node_texts(wanted, nodes, rows)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                linked = pa.array(overlaps(part.column(2), part.column(3)) >= similarity)
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(linked), part.column(1).filter(linked)], names=["a", "b"])
-
-    return durable(
-        pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(run, "a long, b long")
-    )
-
-
-def _tiles(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members of buckets with several components, with their sketches, gathered in tiles of a bounded number of rows
-    and of shingles (blocks are dealt by hash, so both bounds hold on average; a longer text is held whole).
-
-    The largest component of a bucket need not be compared with itself: the others' blocks meet each other and the
-    blocks of the largest. A tile holds two blocks; ``side`` tells which one a member belongs to (2: the only block).
-    """
-    bucket = ["band", "key"]
-
-    def blocks(n: Column, weight: Column) -> Column:
-        return F.greatest(F.ceil(n / BLOCK), F.least(n, F.ceil(weight / BLOCK_WEIGHT)))
-
-    sizes = members.groupBy(*bucket, "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-    per = (
-        sizes.groupBy(*bucket)
-        .agg(
-            F.sum("n").alias("all"), F.sum("w").alias("weight"), F.max(F.struct("n", "label", "w")).alias("most"), F.count("*").alias("labels")
-        )
-        .filter("labels > 1")
-        .select(*bucket, F.col("most.label").alias("main"),
-                blocks(F.col("all") - F.col("most.n"), F.col("weight") - F.col("most.w")).alias("others"),
-                blocks(F.col("most.n"), F.col("most.w")).alias("mains"),
-                ((F.col("all") <= BLOCK) & (F.col("weight") <= BLOCK_WEIGHT)).alias("small"))
-    )
-
-    def tile(kind: str, i: Column, j: Column, side: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), side.alias("side"))
-
-    def counted(n: Column) -> Column:
-        return F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
-
-    dealt = F.xxhash64("node")
-    at = F.pmod(dealt, F.when(F.col("label") == F.col("main"), F.col("mains")).otherwise(F.col("others")))
-    zero = F.lit(0).cast("long")
-    places = (
-        F.when(F.col("small"), F.array(tile("all", zero, zero, F.lit(2))))
-        .when(F.col("label") == F.col("main"), F.transform(counted(F.col("others")), lambda i: tile("main", i, at, F.lit(1))))
-        .otherwise(
-            F.concat(
-                F.transform(counted(F.col("mains")), lambda j: tile("main", at, j, F.lit(0))),
-                F.transform(
-                    counted(F.col("others")),
-                    lambda j: tile("others", F.least(at, j), F.greatest(at, j), F.when(at == j, 2).when(at < j, 0).otherwise(1)),
-                ),
-            )
-        )
-    )
-    return (
-        members.join(per, bucket)
-        .join(sketches, "node")
-        .select(*bucket, "node", "label", "sketch", F.explode(places).alias("tile"))
-        .groupBy(*bucket, "tile.kind", "tile.i", "tile.j")
-        .agg(F.collect_list(F.struct("node", "label", "sketch", F.col("tile.side").alias("side"))).alias("held"))
-        .filter(F.size("held") > 1)
-    )
+def sketch_cut(similarity: float) -> float:
+    """Share of agreeing registers from which a pair is worth its texts: five standard errors below the similarity."""
+    return similarity - 5 * math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
 
 
-def _allowed(label: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Pairs of a tile to look at: of different components and of different blocks, each once."""
-    order = np.arange(len(label))
-    across = ((side != 1)[:, None] & (side == 1)[None, :]) | ((side == 2)[:, None] & (side == 2)[None, :] & (order[:, None] < order[None, :]))
-    return across & (label[:, None] != label[None, :])
+def sketches_agree(cut: float):
+    """Of pairs of texts those whose sketches agree on so many registers."""
 
+    def likely(sketches: list[bytes], pairs: np.ndarray) -> np.ndarray:
+        sketch = np.array([np.frombuffer(s, np.uint8) for s in sketches])
+        out = np.zeros_like(pairs)
+        for k in np.flatnonzero(pairs.any(axis=1)):
+            others = np.flatnonzero(pairs[k])
+            out[k, others] = (sketch[others] == sketch[k]).mean(axis=1) >= cut
+        return out
 
-def sketch_cut(similarity: float) -> float:
-    """Share of agreeing registers from which a pair is worth its texts: five standard errors below the similarity."""
-    return similarity - 5 * math.sqrt(similarity * (1 - similarity) / (BANDS * ROWS))
+    return likely
 
 
-def promising(tiles: DataFrame, cut: float) -> DataFrame:
-    """``tile, node, label, side`` of the members whose sketch agrees well enough with that of a member of another component."""
+def shared_counts(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """How many elements each two texts share, and how many each has.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for tile, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                label, side = (np.array([h[k] for h in held]) for k in ("label", "side"))
-                sketch = np.array([np.frombuffer(h["sketch"], np.uint8) for h in held])
-                allowed = _allowed(label, side)
-                involved = np.zeros(len(held), dtype=bool)
-                for k in np.flatnonzero(allowed.any(axis=1)):
-                    fit = np.flatnonzero(allowed[k])
-                    near = fit[(sketch[fit] == sketch[k]).mean(axis=1) >= cut]
-                    involved[near] = True
-                    involved[k] |= len(near) > 0
-                out += [(tile, held[k]["node"], held[k]["label"], held[k]["side"]) for k in np.flatnonzero(involved)]
-            columns = list(zip(*out)) if out else [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["tile", "node", "label", "side"])
-
-    named = tiles.select(F.xxhash64("band", "key", "kind", "i", "j").alias("tile"), "held")
-    return named.mapInArrow(run, "tile long, node long, label long, side int")
-
-
-def shared_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """How many shingles each two texts share, with repetition, and how many each has.
-
-    The k-th occurrence of a shingle is an element of its own, so that multisets are sets; elements are the columns
-    of a 0/1 matrix, and the matrix times its transpose counts what rows share. Elements of a single text are left out,
-    and the others are taken some thousand at a time.
+    Elements are the columns of a 0/1 matrix, and the matrix times its transpose counts what rows share. Elements of a
+    single text are left out, and the others are taken some thousand at a time.
     """
-    n = len(column)
-    parts = []
-    for first, _, data, offsets in slices(column):
-        hashes, of = shingle_hashes(data, offsets)
-        parts.append((hashes, of + first))
-    hashes, of = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])]) if len(hashes) else np.zeros(0, bool)
-    starts = np.flatnonzero(fresh)
-    occurrence = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
-    sizes = np.bincount(of, minlength=n)
-    elements, number = np.unique(scramble(hashes + occurrence.astype(np.uint64) * PLACES[0]), return_inverse=True)
+    n = len(arrays)
+    sizes = np.array([len(a) for a in arrays])
+    of = np.repeat(np.arange(n), sizes)
+    elements, number = np.unique(np.concatenate(arrays), return_inverse=True)
     common = np.bincount(number, minlength=len(elements)) > 1
     place = np.cumsum(common) - 1
     keep = common[number]
@@ -344,37 +196,14 @@ def shared_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shared, sizes
 
 
-def joining_links(members: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: links between different components, for each tile as few as join the same components."""
+def counted_links(per_cent: int):
+    """Judge of the pairs of a tile: all overlaps as one matrix product."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            for row in batch.column(0):
-                found = row.values
-                node, label, side = (found.field(k).to_numpy(zero_copy_only=False) for k in ("node", "label", "side"))
-                shared, sizes = shared_counts(found.field("text"))
-                together = np.maximum(sizes[:, None] + sizes[None, :] - shared, 1)
-                parent = {k: k for k in label.tolist()}
-                for i, j in zip(*np.nonzero(_allowed(label, side) & (shared / together >= similarity))):
-                    x, y = int(label[i]), int(label[j])
-                    while parent[x] != x:
-                        x = parent[x]
-                    while parent[y] != y:
-                        y = parent[y]
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-                        out.append((int(node[i]), int(node[j])))
-            columns = list(zip(*out)) if out else [[]] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+    def judge(arrays: list[np.ndarray], pairs: np.ndarray, apart) -> Iterator[tuple[int, int]]:
+        shared, sizes = shared_counts(arrays)
+        return zip(*np.nonzero(pairs & similar(shared, sizes[:, None] + sizes[None, :], per_cent)))
 
-    return (
-        members.join(held, "node")
-        .groupBy("tile")
-        .agg(F.collect_list(F.struct("node", "label", "side", "text")).alias("held"))
-        .select("held")
-        .mapInArrow(run, "a long, b long")
-    )
+    return judge
 
 
 # ---------------------------------------------------------------- classes
@@ -385,41 +214,39 @@ def near_classes(
 ) -> DataFrame:
     """One row per input row: ``doc_id, class_id, class_size, digest``, with ``first`` true for the digest of the class
     id's row."""
+    per_cent = round(100 * similarity)
     rows = texts(docs, id_column, text_column).withColumn("digest", text_digest(F.col("text")))
-    signed = durable(sign(rows))
+    signed = durable(sign(rows).withColumn("node", F.monotonically_increasing_id()))
     nodes = durable(
-        signed.groupBy("digest").agg(
-            F.min(id_order(F.col("doc_id"))).alias("order"),
-            F.count("*").alias("copies"),
-            F.min(F.struct("bands", "sketch", "weight")).alias("s"),
-        )
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "order", "copies", "s.bands", "s.sketch", "s.weight")
+        signed.groupBy("digest")
+        .agg(F.min(F.struct(id_order(F.col("doc_id")).alias("order"), "node")).alias("first"), F.count("*").alias("copies"))
+        .select("first.node", "digest", "first.order", "copies")
     )
-    buckets = nodes.filter("weight > 0").select("node", "weight", F.posexplode("bands").alias("band", "key"))
-    # Every band draws its own representative of a bucket, so that a dense group is held together by many.
-    turn = F.struct(F.xxhash64("node", "band").alias("draw"), "node")
-    leaders = buckets.groupBy("band", "key").agg(F.min(turn).alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = durable(buckets.join(leaders, ["band", "key"]).select("band", "key", "node", "weight", F.col("leader.node").alias("leader")))
-    pairs = durable(
-        members.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    one = durable(
+        signed.filter("weight > 0").select("node", "weight", "bands", "sketch").join(light(nodes.select("node")), "node", "left_semi")
     )
-    links = verify(pairs, nodes, rows, similarity)
-    labels = components(links)
-
-    placed = members.select("band", "key", "node", "weight").join(labels, "node", "left").select(
-        "band", "key", "node", "weight", F.coalesce("label", "node").alias("label")
+    members = in_company(one.select("node", F.explode("bands").alias("key")))
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("order.id").alias("first_id"), "digest")
+    labels = classes(
+        members,
+        one.select("node", "weight"),
+        stored_elements(wanted, rows, shingle_hashes, repeated=True),
+        one.select("node", "sketch"),
+        sketches_agree(sketch_cut(similarity)),
+        counted_links(per_cent),
+        per_cent,
     )
-    open_ = durable(promising(_tiles(placed, nodes.select("node", "sketch")), sketch_cut(similarity)))
-    if not open_.isEmpty():
-        held = node_texts(open_.select("node").distinct(), nodes, rows)
-        labels = components(links.union(joining_links(open_, held, similarity)))
-
     labelled = nodes.join(labels, "node", "left").select("digest", "order", "copies", F.coalesce("label", "node").alias("label"))
-    classes = labelled.groupBy("label").agg(F.min(F.struct("order", "digest")).alias("first"), F.sum("copies").alias("class_size"))
-    of_digest = labelled.join(classes, "label").select(
-        "digest", F.col("first.order.id").alias("class_id"), "class_size", (F.col("first.digest") == F.col("digest")).alias("first")
+    first = labelled.groupBy("label").agg(F.min(F.struct("order", "digest")).alias("first"), F.sum("copies").alias("class_size"))
+    of_digest = durable(
+        labelled.join(first, "label").select(
+            "digest", F.col("first.order.id").alias("class_id"), "class_size", (F.col("first.digest") == F.col("digest")).alias("first")
+        )
+    )
+    fits = fits_broadcast(of_digest, rows=LIGHT_ROWS, size=LIGHT_BYTES)
+    return join_dimension(signed.select("doc_id", "digest"), of_digest, "digest", "inner", fits).select(
+        "doc_id", "class_id", "class_size", "digest", "first"
     )
-    return signed.select("doc_id", "digest").join(of_digest, "digest").select("doc_id", "class_id", "class_size", "digest", "first")
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from latewatch.session import durable
@@ -20,7 +20,9 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, F.col("a") == F.col("node")).groupBy(F.col("b").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         target = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        stepped = durable(lower.join(target, "label").select("node", "old", F.col("further").alias("label")))
+        stepped = lower.join(target, "label").select("node", "old", F.col("further").alias("label"))
+        changed = Observation()
+        stepped = durable(stepped.observe(changed, F.count_if(F.col("old") != F.col("label")).alias("n")))
         labels = stepped.select("node", "label")
-        if stepped.filter("old <> label").isEmpty():
+        if not changed.get["n"]:
             return labels

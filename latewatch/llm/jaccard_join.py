@@ -221,12 +221,13 @@ def join_components(
     )
     one = signed.filter("size(keys) > 0").join(light(nodes.select("node")), "node", "left_semi")
     members = in_company(one.select("node", F.explode("keys").alias("key")))
+    facts = durable(one.select("node", F.col("n_shingles").alias("weight"), "sketch"))
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("order.id").alias("first_id"), "digest")
     labels = classes(
         members,
-        one.select("node", F.col("n_shingles").alias("weight")),
+        facts.select("node", "weight"),
         stored_elements(wanted, rows, shingle_hashes, repeated=False),
-        one.select("node", "sketch"),
+        facts.select("node", "sketch"),
         within_bounds(per_cent),
         intersected(per_cent),
         per_cent,

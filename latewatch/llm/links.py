@@ -1,7 +1,7 @@
 """Classes of similar texts from buckets of candidates, by few comparisons and without losing a link.
 
 Given are members of buckets and an exact test of two texts. A class that is dense (a text with thousands of variants) would
-make nearly all its pairs candidates. So first, for ``ROUNDS`` rounds, every text is tested against one other only: a member of
+make nearly all its pairs candidates. So first, for ``ROUNDS`` rounds (further ones join little more), every text is tested against one other only: a member of
 the largest class in one of its buckets; what passes joins classes, by components over at most one link a text. Only
 pairs of different classes that share a bucket can still join anything: the members of such a bucket are laid out in blocks, and
 a tile of two blocks bounds the similarity of all its pairs by sketches, in numpy. Pairs that pass, in whichever of the many
@@ -29,7 +29,7 @@ from latewatch.llm.words import PLACES, scramble, slices
 from latewatch.operators.joins import fits_broadcast, join_dimension
 from latewatch.session import durable
 
-ROUNDS = 2
+ROUNDS = 1
 BLOCK = 512
 #: Bounds of what is copied to every task, ids and hashes: well below those of a dimension, as several are alive at a time.
 LIGHT_ROWS, LIGHT_BYTES = 400_000, 16 << 20

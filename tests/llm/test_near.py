@@ -9,6 +9,7 @@ import numpy as np
 import corpus_pipeline
 from conftest import SMALL
 from latewatch.llm import bag_minhash as near
+from latewatch.llm import links
 from latewatch.llm.graph import components
 from tricky_rows import no_docs, tricky  # noqa: F401  the fixtures
 
@@ -68,22 +69,46 @@ def test_a_dense_cloud_equals_all_pairs(spark):
     assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == all_pairs(texts)
 
 
+def test_a_large_class_is_joined_by_few_pairs(spark, monkeypatch):
+    """4,000 near copies of one text: one class, at most one pair a text and round, one or two links a text."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(100)]
+    texts = []
+    for _ in range(4000):
+        words = list(base)
+        words[rng.randrange(100)] = f"new{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    pairs, found = [], []
+    verified = links.verified
+
+    def counted(asked, *rest):
+        pairs.append(asked.count())
+        out = verified(asked, *rest)
+        found.append(out.count())
+        return out
+
+    monkeypatch.setattr(links, "verified", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    assert {r["class_id"] for r in near.near_classes(docs).collect()} == {0}
+    assert all(n <= 4000 for n in pairs) and sum(found) <= 2 * 4000
+
+
 def test_tiles_are_bounded_in_shingles(spark):
-    rows = [(0, 7, k, 100_000, max(k, 9)) for k in range(60)]
-    members = spark.createDataFrame(rows, "band int, key long, node long, weight long, label long")
-    tiles = near._tiles(members, members.selectExpr("node", "binary('') AS sketch")).collect()
-    assert max(len(t["held"]) for t in tiles) * 100_000 < 4 * near.BLOCK_WEIGHT < 60 * 100_000
+    rows = [(7, k, 100_000, max(k, 9)) for k in range(60)]
+    members = spark.createDataFrame(rows, "key long, node long, weight long, label long")
+    tiles = links.tiles(members, members.selectExpr("node", "binary('') AS sketch")).collect()
+    assert max(len(t["held"]) for t in tiles) * 100_000 < 4 * links.BLOCK_WEIGHT < 60 * 100_000
     pairs = Counter()
     for t in tiles:
         node, label, side = (np.array([h[k] for h in t["held"]]) for k in ("node", "label", "side"))
-        pairs.update(tuple(sorted((int(node[i]), int(node[j])))) for i, j in zip(*np.nonzero(near._allowed(label, side))))
+        pairs.update(tuple(sorted((int(node[i]), int(node[j])))) for i, j in zip(*np.nonzero(links.allowed(label, side))))
     assert pairs == Counter((a, b) for a in range(60) for b in range(a + 1, 60) if max(a, 9) != max(b, 9))
 
 
 def test_classes_do_not_depend_on_the_weight_of_blocks(spark, monkeypatch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()}
-    monkeypatch.setattr(near, "BLOCK_WEIGHT", 50)
+    monkeypatch.setattr(links, "BLOCK_WEIGHT", 50)
     assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == before
 
 
@@ -121,13 +146,30 @@ def test_the_sketch_loses_hardly_a_pair():
 
 
 def test_overlaps_equal_counters():
-    import pyarrow as pa
-
     rng = random.Random(2)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(0, 40))) for _ in range(60)]
-    a, b = texts[:30], texts[30:]
-    got = near.overlaps(pa.array(a), pa.array(b))
-    assert np.allclose(got, [similarity(shingles(x), shingles(y)) for x, y in zip(a, b)])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    found, of = links.distinct(*near.shingle_hashes(data, np.cumsum([0, *map(len, texts)])), repeated=True)
+    arrays = np.split(found, np.searchsorted(of, np.arange(1, 60)))
+    shared, sizes = near.shared_counts(arrays)
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts):
+            a, b = shingles(x), shingles(y)
+            assert links.overlap(arrays[i], arrays[j]) == sum((a & b).values()) and sizes[i] == sum(a.values())
+            if i != j:
+                assert shared[i, j] == sum((a & b).values())
+
+
+def test_in_company_keeps_shared_keys(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(300), node) for node in range(250)] + [(7, node) for node in range(1000, 1400)]
+    entries = spark.createDataFrame(rows, "key long, node long").repartition(5)
+    got = [tuple(r) for r in links.in_company(entries).collect()]
+    by_key = Counter(k for k, _ in rows)
+    assert len(got) == len(set(got)) and set(got) <= set(rows)
+    assert {r for r in rows if by_key[r[0]] > 1} <= set(got)
+    assert sum(by_key[k] == 1 for k, _ in got) <= 2 * 8
+    assert links.in_company(entries.limit(0)).count() == 0
 
 
 def test_components_of_chains_and_stars(spark):
