@@ -43,7 +43,7 @@ from latewatch.session import durable
 SHINGLE, PER_CENT = 4, 85
 #: Ratio of the ends of a band; spare parts of a band for each element in which two sets may differ.
 RATIO, SPARE = 1.6, 0.15
-#: Bits of a bitmap: a power of two, twice the largest size of the band at least, between these.
+#: Bits of a bitmap: a power of two, the largest size of the band at least, between these.
 BITS = (64, 1 << 16)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -78,7 +78,7 @@ def bands(per_cent: int = PER_CENT) -> Bands:
         reach = (high - 1) * 100 // per_cent
         most = (100 - per_cent) * (high - 1 + reach) // (100 + per_cent)
         spare = 1 + math.ceil(SPARE * most)
-        bits = min(max(1 << (2 * high).bit_length(), BITS[0]), BITS[1])
+        bits = min(max(1 << (high - 1).bit_length(), BITS[0]), BITS[1])
         rows.append((low, most + spare, spare, reach, bits))
         low = high
     return Bands(*(np.array(c, np.int64) for c in zip(*rows)))

@@ -354,6 +354,15 @@ def mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return durable(placed.join(several, "key"))
 
 
+def once(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one, and of all buckets that have the same members only of one: two similar texts
+    share many buckets, often alone."""
+    names = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"set_{k}") for k in (1, 2)]
+    held = members.groupBy("key").agg(F.count("*").alias("n"), *names).filter("n > 1")
+    kept = held.groupBy("n", "set_1", "set_2").agg(F.min("key").alias("key")).select("key")
+    return members.join(kept, "key")
+
+
 def classes(
     members: DataFrame, weights: DataFrame, elements: DataFrame, sketches: DataFrame, likely: Callable, judge: Callable, per_cent: int
 ) -> DataFrame:
@@ -362,7 +371,7 @@ def classes(
     The label is the smallest node of the class.
     """
     labels = durable(weights.withColumn("label", F.col("node")))
-    open_ = mixed(members, labels)
+    open_ = mixed(once(members), labels)
     for turn in range(ROUNDS):
         links = verified(one_pair_each(open_, turn), elements, per_cent)
         if links.isEmpty():
