@@ -165,6 +165,11 @@ LABELLED = (
     "mail: {email|carl(at)firm(dot)com} is read daily",
     "answers go to {email|team[at]lab[dot]edu} only",
     "send it to {email|x.y [at] example.com} soon",
+    "please write to {email|maria at firma dot com} before ten",
+    "we write to {email|otto at labor dot de} about it",
+    "ask {email|jane dot doe at host dot net} first",
+    "letters to {email|peter at school dot edu} are late",
+    "drop {email|eva at casa dot es} a line",
     "ask {email|maria.lopez {at} correo {dot} es} for it",
     "the office [room 4] is at the end (left)",
     "we met (at noon) in the hall [dot plot]",
@@ -283,7 +288,7 @@ def filler(kind: str, rng: random.Random) -> str:
     if kind == "email":
         user = rng.choice((name(), f"{name()}.{name()}", f"{name()}{rng.randrange(100)}", f"{name()}_{name()}"))
         host, end = rng.choice((name(), f"{name()}-{name()}")), rng.choice(("com", "org", "net", "de", "es", "fr", "edu"))
-        at, dot = rng.choice((("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" {at} ", " {dot} "), (" at ", " dot "), (" AT ", " DOT "),
+        at, dot = rng.choice((("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" {at} ", " {dot} "), (" at ", " dot "), (" at ", " dot "), (" AT ", " DOT "),
                               ("(at)", "(dot)"), ("[at]", "[dot]"), ("[at]", "."), (" [at] ", "."), (" @ ", " . ")))
         return f"{user}{at}{host}{dot}{end}" if rng.random() < 0.7 else f"{user}{at}{name()}{dot}{host}{dot}{end}"
     if kind == "phone":
