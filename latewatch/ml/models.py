@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -76,6 +77,19 @@ def regression_metrics(predictions: DataFrame, label: str = DELAY_MINUTES.label)
     return metrics.regression_scores(predictions, label, "prediction").first().asDict()
 
 
+def without_summary(model: Model, rows: DataFrame) -> Model:
+    """The same model without its training summary, by way of the checkpoint folder.
+
+    The summary holds the session and goes with the model into every task, which fails as soon as the session has
+    something that cannot be sent, such as the registry of observations.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    folder = f"{ensure_checkpoint_dir(rows.sparkSession)}/model-{uuid.uuid4()}"
+    model.save(folder)
+    return type(model).load(folder)
+
+
 @dataclass
 class Comparison:
     """Fitted models of one task, their predictions on the test rows and their metrics."""
@@ -111,6 +125,7 @@ def compare(
         start = time.perf_counter()
         model = estimator.fit(train)
         seconds = time.perf_counter() - start
+        model = without_summary(model, train)
         predictions = model.transform(test)
         outcome.models[name] = model
         outcome.predictions[name] = predictions

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from latewatch.ml import features as ml_features
@@ -121,6 +122,16 @@ def test_tuning_reports_every_setting(spark, incidents):
     assert summary["best_cv_roc_auc"] == max(s["roc_auc"] for s in summary["settings"])
 
 
+def test_models_score_in_a_session_that_observed_rows(spark, incidents):
+    observed = Observation("rows")
+    spark.range(5).observe(observed, F.count("*").alias("n")).collect()
+    assert observed.get["n"] == 5
+    chosen = ml_models.classifiers(iterations=2, trees=2, depth=2, rounds=2, round_depth=2)
+    outcome = ml_models.compare_classifiers(ml_features.prepare_risk(incidents), chosen)
+    assert [r["model"] for r in outcome.results] == ["LogisticRegression", "RandomForest", "GBTClassifier"]
+    assert all(0 <= r["roc_auc"] <= 1 for r in outcome.results)
+
+
 def test_regression_job(spark, incidents, tmp_path):
     chosen = {"Decision Tree": ml_models.regressors(depth=4)["Decision Tree"]}
     document = jobs.regression(incidents, str(tmp_path), sample=0.5, estimators=chosen)
