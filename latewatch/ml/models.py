@@ -160,14 +160,14 @@ def tune_logistic(
             columns = ["features", BREAKDOWN_RISK.label, "classWeight"]
             with cached(encoders.transform(inside).select(*columns), encoders.transform(outside).select(*columns)) as (tr, te):
                 for setting, found in zip(grid, areas):
-                    found.append(judge.evaluate(model.fit(tr, setting).transform(te)))
+                    found.append(judge.evaluate(without_summary(model.fit(tr, setting), tr).transform(te)))
         settings = [
             {"regParam": s[model.regParam], "elasticNetParam": s[model.elasticNetParam], "roc_auc": sum(found) / folds}
             for s, found in zip(grid, areas)
         ]
         best = max(range(len(grid)), key=lambda k: settings[k]["roc_auc"])
         encoders = feature_pipeline(BREAKDOWN_RISK).fit(rows)
-        fitted = PipelineModel(stages=[*encoders.stages, model.fit(encoders.transform(rows), grid[best])])
+        fitted = PipelineModel(stages=[*encoders.stages, without_summary(model.fit(encoders.transform(rows), grid[best]), rows)])
     return fitted, {
         "best_regParam": settings[best]["regParam"],
         "best_elasticNetParam": settings[best]["elasticNetParam"],

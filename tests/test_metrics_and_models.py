@@ -130,6 +130,8 @@ def test_models_score_in_a_session_that_observed_rows(spark, incidents):
     outcome = ml_models.compare_classifiers(ml_features.prepare_risk(incidents), chosen)
     assert [r["model"] for r in outcome.results] == ["LogisticRegression", "RandomForest", "GBTClassifier"]
     assert all(0 <= r["roc_auc"] <= 1 for r in outcome.results)
+    _, summary = ml_models.tune_logistic(ml_features.prepare_risk(incidents), (0.1,), (0.0,), folds=2, iterations=2)
+    assert len(summary["settings"]) == 1
 
 
 def test_regression_job(spark, incidents, tmp_path):
