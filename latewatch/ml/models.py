@@ -15,16 +15,18 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, feature_pipeline, slot_names
+from latewatch.ml.features import BREAKDOWN_RISK, DELAY_MINUTES, FeatureSet, feature_pipeline, slot_names
 from latewatch.operators import metrics
 from latewatch.operators.split import hash_split, with_folds
-from latewatch.session import cached, ensure_checkpoint_dir
+from latewatch.session import cached, ensure_checkpoint_dir, partition_report
 
 # The tuning grid.
 REGULARISATION = (0.0, 0.01, 0.1)
 ELASTIC_MIX = (0.0, 0.5)
 # Tree learners collect statistics of as many nodes per pass as fit this much memory.
 NODE_MEMORY_MB = 1024
+# A task of a training pass holds about as many rows, whatever the number of cores.
+ROWS_PER_TASK = 250_000
 
 
 def classifiers(
@@ -90,6 +92,19 @@ def without_summary(model: Model, rows: DataFrame) -> Model:
     return type(model).load(folder)
 
 
+def balanced(df: DataFrame, features: FeatureSet, most: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows dealt over as many partitions as their number asks for; left as they are where none holds more than ``most``.
+
+    The order inside a partition follows from the rows, and similar rows, which reach the same nodes of a tree, are
+    neighbours.
+    """
+    sizes = partition_report(df).agg(F.max("rows").alias("largest"), F.sum("rows").alias("n")).first()
+    if (sizes.largest or 0) <= most:
+        return df
+    order = dict.fromkeys([*features.categorical, *features.numeric, *df.columns])
+    return df.repartition(-(-sizes.n // most), *df.columns).sortWithinPartitions(*order)
+
+
 @dataclass
 class Comparison:
     """Fitted models of one task, their predictions on the test rows and their metrics."""
@@ -193,7 +208,8 @@ def _compare_task(prepared, features, estimators, evaluate, extra) -> Comparison
     with cached(prepared.select(*dict.fromkeys(used))) as (rows,):
         train, test = hash_split(rows)
         fitted = feature_pipeline(features).fit(train)
-        with cached(fitted.transform(train).select(*columns), fitted.transform(test).select(*columns)) as (tr, te):
+        dealt = (fitted.transform(balanced(side, features)).select(*columns) for side in (train, test))
+        with cached(*dealt) as (tr, te):
             return compare(tr, te, fitted, estimators, evaluate)
 
 

@@ -10,6 +10,7 @@ from latewatch.ml import features as ml_features
 from latewatch.ml import models as ml_models
 from latewatch.operators import buckets, metrics
 from latewatch.plans import jobs
+from latewatch.session import partition_report
 
 
 @pytest.fixture(scope="module")
@@ -134,6 +135,17 @@ def test_models_score_in_a_session_that_observed_rows(spark, incidents):
     assert len(summary["settings"]) == 1
 
 
+def test_training_tasks_do_not_grow_with_the_rows(spark, incidents):
+    used = ["busbreakdown_id", *ml_features.BREAKDOWN_RISK.categorical, *ml_features.BREAKDOWN_RISK.numeric]
+    rows = ml_features.prepare_risk(incidents).select(*used).coalesce(1)
+    n = rows.count()
+    dealt = ml_models.balanced(rows, ml_features.BREAKDOWN_RISK, most=100)
+    sizes = [r.rows for r in partition_report(dealt).collect()]
+    assert sum(sizes) == n and len(sizes) >= n // 100 and max(sizes) < 200
+    assert dealt.exceptAll(rows).isEmpty()
+    assert ml_models.balanced(rows, ml_features.BREAKDOWN_RISK, most=n) is rows
+
+
 def test_regression_job(spark, incidents, tmp_path):
     chosen = {"Decision Tree": ml_models.regressors(depth=4)["Decision Tree"]}
     document = jobs.regression(incidents, str(tmp_path), sample=0.5, estimators=chosen)
