@@ -242,13 +242,17 @@ class LabelModel:
     def fit(self, votes: np.ndarray, start: np.ndarray, trust: tuple[float, float], rounds: int = 15) -> "LabelModel":
         """``start``: first guess of the probability of label 1 for every row. The last voter anchors the labels: how
         often it votes toxic on clean and on toxic rows is given by ``trust`` and not estimated."""
-        shown = [(votes == v).astype(float) for v in (-1, 0, 1)]
         posterior, self.weight = start, np.ones(votes.shape[1])
         for turn in range(rounds):
             self.prior = float(np.clip(posterior.mean(), 0.005, 0.9))
             sides = (1 - posterior, posterior)
             smooth = 1.0
-            self.given = np.array([[(p @ s + smooth / 3) / (p.sum() + smooth) for s in shown] for p in sides])
+            self.given = np.empty((2, 3, votes.shape[1]))
+            for v in (-1, 0, 1):  # one at a time: as numbers they take eight times the room of the votes
+                shown = (votes == v).astype(float)
+                for k, p in enumerate(sides):
+                    self.given[k, v + 1] = (p @ shown + smooth / 3) / (p.sum() + smooth)
+                del shown
             self.given[:, :, -1] = [[1 - t - 1e-6, 1e-6, t] for t in trust]
             if turn in (1, 6):
                 self.weight = 1 / (1 + self.correlations(votes, posterior).sum(axis=1))
@@ -262,9 +266,10 @@ class LabelModel:
         total = np.zeros((votes.shape[1], votes.shape[1]))
         for p in (1 - posterior, posterior):
             p = p / max(p.sum(), 1e-9)
-            centred = (votes - p @ votes) * np.sqrt(p)[:, None]
-            sd = np.sqrt((centred**2).sum(axis=0)) + 1e-6
-            total += np.abs((centred / sd).T @ (centred / sd)) / 2
+            centred = votes - p @ votes
+            centred *= np.sqrt(p)[:, None]
+            centred /= np.sqrt(np.einsum("ij,ij->j", centred, centred)) + 1e-6
+            total += np.abs(centred.T @ centred) / 2
         np.fill_diagonal(total, 0)
         return np.where(total > 0.1, total, 0)
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -379,3 +380,14 @@ def test_characters_are_code_points():
     assert starts.tolist() == [0, 1, 3, 6, 10] and len(set(points.tolist())) == 5
     assert [int(p).to_bytes(8, "little").rstrip(b"\0").decode() for p in points] == list(text)
     assert quality.code_points(np.zeros(0, np.uint8))[0].size == 0
+
+
+def test_the_label_model_is_fitted_in_little_memory():
+    rng = np.random.default_rng(3)
+    votes = rng.integers(-1, 2, (4000, 100)).astype(np.int8)
+    tracemalloc.start()
+    posterior = toxicity.LabelModel().fit(votes, np.where(votes[:, -1] == 1, 0.95, 0.05), (0.01, 0.9)).posterior(votes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(posterior) == 4000 and ((posterior >= 0) & (posterior <= 1)).all()
+    assert peak < 3 * votes.size * 8
