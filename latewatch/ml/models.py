@@ -25,6 +25,8 @@ REGULARISATION = (0.0, 0.01, 0.1)
 ELASTIC_MIX = (0.0, 0.5)
 # Tree learners collect statistics of as many nodes per pass as fit this much memory.
 NODE_MEMORY_MB = 1024
+# Forests keep the node of every row between passes instead of walking all trees anew; the lineage is one step a level.
+NODES_KEPT = {"cacheNodeIds": True, "checkpointInterval": -1}
 # A task of a training pass holds about as many rows, whatever the number of cores.
 ROWS_PER_TASK = 250_000
 
@@ -37,7 +39,7 @@ def classifiers(
     return {
         "LogisticRegression": LogisticRegression(maxIter=iterations, **common),
         "RandomForest": RandomForestClassifier(
-            numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **common
+            numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **NODES_KEPT, **common
         ),
         "GBTClassifier": GBTClassifier(
             maxIter=rounds, maxDepth=round_depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **common
@@ -54,7 +56,7 @@ def regressors(
         "Linear Regression": LinearRegression(maxIter=iterations, regParam=0.1, elasticNetParam=0.1, **common),
         "Decision Tree": DecisionTreeRegressor(maxDepth=depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **common),
         "Random Forest": RandomForestRegressor(
-            numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **common
+            numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **NODES_KEPT, **common
         ),
         "Gradient Boosting": GBTRegressor(
             maxIter=rounds, maxDepth=round_depth, seed=seed, maxMemoryInMB=NODE_MEMORY_MB, **common

@@ -146,6 +146,11 @@ def test_training_tasks_do_not_grow_with_the_rows(spark, incidents):
     assert ml_models.balanced(rows, ml_features.BREAKDOWN_RISK, most=n) is rows
 
 
+def test_forests_keep_the_nodes_of_rows(spark):
+    forests = ml_models.classifiers()["RandomForest"], ml_models.regressors()["Random Forest"]
+    assert all(f.getCacheNodeIds() and f.getCheckpointInterval() == -1 for f in forests)
+
+
 def test_regression_job(spark, incidents, tmp_path):
     chosen = {"Decision Tree": ml_models.regressors(depth=4)["Decision Tree"]}
     document = jobs.regression(incidents, str(tmp_path), sample=0.5, estimators=chosen)
