@@ -5,8 +5,10 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -23,6 +25,8 @@ from latewatch.session import cached, ensure_checkpoint_dir, partition_report
 # The tuning grid.
 REGULARISATION = (0.0, 0.01, 0.1)
 ELASTIC_MIX = (0.0, 0.5)
+# Settings fitted side by side: a pass of one leaves cores idle, but each holds the rows of its fold once more.
+SIDE_BY_SIDE = 2
 # Tree learners collect statistics of as many nodes per pass as fit this much memory.
 NODE_MEMORY_MB = 1024
 # Forests keep the node of every row between passes instead of walking all trees anew; the lineage is one step a level.
@@ -161,13 +165,15 @@ def tune_logistic(
     """Cross-validated grid search of the logistic regression by ROC area, over prepared (not yet encoded) rows.
 
     Folds follow from the row key, so that they are the same on every run and cluster. Encoders and scaler are fitted
-    anew for every fold, on its training side only; all settings then share the encoded rows.
+    anew for every fold, on its training side only; all settings then share the encoded rows. Settings without a penalty
+    are one problem, whatever their mix, and are fitted once.
     """
     model = LogisticRegression(
         featuresCol="features", labelCol=BREAKDOWN_RISK.label, weightCol="classWeight", maxIter=iterations
     )
     judge = BinaryClassificationEvaluator(labelCol=BREAKDOWN_RISK.label, metricName="areaUnderROC")
     grid = [{model.regParam: r, model.elasticNetParam: e} for r in regularisation for e in elastic_mix]
+    problems = [(r, e if r else 0.0) for r in regularisation for e in elastic_mix]
     areas: list[list[float]] = [[] for _ in grid]
     used = [*BREAKDOWN_RISK.categorical, *BREAKDOWN_RISK.numeric, BREAKDOWN_RISK.label, "classWeight"]
     with cached(with_folds(train, folds, keys).select(*used, "fold")) as (rows,):
@@ -176,8 +182,18 @@ def tune_logistic(
             encoders = feature_pipeline(BREAKDOWN_RISK).fit(inside)
             columns = ["features", BREAKDOWN_RISK.label, "classWeight"]
             with cached(encoders.transform(inside).select(*columns), encoders.transform(outside).select(*columns)) as (tr, te):
-                for setting, found in zip(grid, areas):
-                    found.append(judge.evaluate(without_summary(model.fit(tr, setting), tr).transform(te)))
+
+                def area(problem: tuple[float, float], tr: DataFrame = tr, te: DataFrame = te) -> float:
+                    setting = dict(zip((model.regParam, model.elasticNetParam), problem))
+                    return judge.evaluate(without_summary(model.fit(tr, setting), tr).transform(te))
+
+                distinct = list(dict.fromkeys(problems))
+                with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+                    # Each with a copy of the session's properties of its own, as its jobs write there.
+                    runs = [pool.submit(inheritable_thread_target(train.sparkSession)(area), problem) for problem in distinct]
+                judged = {problem: run.result() for problem, run in zip(distinct, runs)}
+                for problem, found in zip(problems, areas):
+                    found.append(judged[problem])
         settings = [
             {"regParam": s[model.regParam], "elasticNetParam": s[model.elasticNetParam], "roc_auc": sum(found) / folds}
             for s, found in zip(grid, areas)

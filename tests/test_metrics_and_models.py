@@ -123,6 +123,21 @@ def test_tuning_reports_every_setting(spark, incidents):
     assert summary["best_cv_roc_auc"] == max(s["roc_auc"] for s in summary["settings"])
 
 
+def test_settings_without_a_penalty_are_fitted_once(spark, incidents, monkeypatch):
+    fits = []
+    fit = ml_models.LogisticRegression.fit
+
+    def counted(self, rows, params=None):
+        fits.append(params)
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(ml_models.LogisticRegression, "fit", counted)
+    _, summary = ml_models.tune_logistic(ml_features.prepare_risk(incidents), (0.0, 0.1), (0.0, 0.5), folds=2, iterations=3)
+    assert [(s["regParam"], s["elasticNetParam"]) for s in summary["settings"]] == [(0.0, 0.0), (0.0, 0.5), (0.1, 0.0), (0.1, 0.5)]
+    assert summary["settings"][0]["roc_auc"] == summary["settings"][1]["roc_auc"]
+    assert len(fits) == 2 * 3 + 1
+
+
 def test_models_score_in_a_session_that_observed_rows(spark, incidents):
     observed = Observation("rows")
     spark.range(5).observe(observed, F.count("*").alias("n")).collect()
