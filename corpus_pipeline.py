@@ -2,6 +2,7 @@
 are mixed to their target weights, and what is left is encoded.
 
 Every stage reads all that its predecessor kept, stored as Parquet; all but the last return the columns of documents.
+Stages that send texts to Python do so in modest batches, a setting that the session keeps.
 ``run`` stores them in a new folder under spark.checkpoint.dir.
 """
 
@@ -13,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from latewatch.llm import bag_minhash, bpe, exact_dedup, mixing, toxicity
 from latewatch.llm.inputs import table
-from latewatch.session import ensure_checkpoint_dir
+from latewatch.session import ensure_checkpoint_dir, modest_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labels of the folder, does not reject."""
+    modest_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
@@ -29,6 +31,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
+    modest_batches(spark)
     return bag_minhash.keep_one(docs)
 
 
@@ -39,6 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids``, their number, and digests of the ids and of what they decode to."""
+    modest_batches(spark)
     return bpe.digests(bpe.round_trip(docs))
 
 

@@ -70,6 +70,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def modest_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """From now on Arrow batches of the session hold so many rows at most.
+
+    A batch of whole texts is held by the JVM and by a Python worker at a time; with Spark's 10,000 rows that is tens of
+    MB each, which neither gives back. A smaller setting stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
@@ -213,3 +215,17 @@ def test_pipeline_of_nothing(spark, no_docs, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_sends_texts_in_modest_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.range(3_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), "id").alias("text"))
+    sizes = lambda: max(r.n for r in rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect())
+    before = spark.conf.get(name)
+    try:
+        for held, most in (("10000", 1_000), ("0", 1_000), ("300", 300)):
+            spark.conf.set(name, held)
+            assert corpus_pipeline.encode(spark, rows, "").count() == 3_000
+            assert sizes() == most
+    finally:
+        spark.conf.set(name, before)
